@@ -217,7 +217,7 @@ def tier3_proposals(unresolved: DataFrame, proposals: DataFrame) -> DataFrame:
 
 
 def _two_places(ratio: Column) -> Column:
-    return ratio.cast("decimal(10,2)").cast("string")
+    return F.bround(ratio, 2).cast("decimal(10,2)").cast("string")
 
 
 def gate_routing(

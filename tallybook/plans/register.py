@@ -18,6 +18,7 @@ from tallybook.schemas import (
     ORDER_COLUMNS,
     REGISTER_COLUMNS,
 )
+from tallybook.workspace import stage
 
 
 def has_rows(df: DataFrame | None) -> bool:
@@ -129,12 +130,12 @@ def run_controls(
     """Findings in register order, and the control summary beside them.
 
     ``detail`` is read by several controls, so it should be a table or a staged
-    one; each control then scans only its own columns. An empty prior period
-    counts as none.
+    one; each control then scans only its own columns. The findings are written once
+    and both results read them. An empty prior period counts as none.
     """
     prior = prior if has_rows(prior) else None
     if duplicates is None:
         candidates = D.duplicate_candidates(detail)
         duplicates = D.dedupe_findings(D.described_groups(candidates), engagement.tolerance, run_id)
-    findings = all_findings(detail, summary, engagement, prior, run_id, duplicates)
+    findings = stage(all_findings(detail, summary, engagement, prior, run_id, duplicates), "findings")
     return register_order(findings), control_summary(findings, detail, summary, prior, run_id)

@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,22 +43,22 @@ def stage_with_index(df: DataFrame, order: list[Column], name: str, index: str =
 
     The range sort splits hot leading keys on the later ones; ``order`` should
     therefore end in something that tells equal rows apart. A row's number is its
-    place in its file plus the rows of the files before it. There are at most as
-    many files as sort partitions, which bounds the broadcast.
+    place in its file plus the rows of the files before it. Those sums are one short
+    list, as long as the sort has partitions, held as a constant of the plan.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.orderBy(*order).write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("bigint")
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        written.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return (
-        written.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row_in_file"))
-        .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_offset") + F.col("_row_in_file")).cast("bigint").alias(index))
-    )
+    part = F.split_part("_metadata.file_name", F.lit("-"), F.lit(2)).cast("int")
+    sizes = {
+        row.part: row.rows
+        for row in written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    }
+    before, offsets = 0, []
+    for number in range(max(sizes, default=-1) + 1):
+        offsets.append(str(before))
+        before += sizes.get(number, 0)
+    starts = F.split(F.lit(",".join(offsets)), ",").cast("array<bigint>")
+    position = F.get(starts, part) + F.col("_metadata.row_index")
+    return written.select(*df.columns, position.cast("bigint").alias(index))

@@ -26,7 +26,7 @@ ENGAGEMENT = Engagement(
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tallybook-tests")
@@ -34,7 +34,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("workspace")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
