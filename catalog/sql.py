@@ -262,7 +262,7 @@ read_ AS (
     CASE WHEN regexp_full_match(trim(line_no), '[+-]?[0-9]+') THEN TRY_CAST(trim(line_no) AS BIGINT) END AS ln
   FROM dirty),
 broken AS (
-  SELECT row_number, 1 AS at, 'V-TYPE' AS rule_id, 'entity' AS field, 'Input should be a valid string' AS detail
+  SELECT row_number, 1 AS place, 'V-TYPE' AS rule_id, 'entity' AS field, 'Input should be a valid string' AS detail
   FROM read_ WHERE entity IS NULL
   UNION ALL SELECT row_number, 1, 'V-EMPTY', 'entity', 'String should have at least 1 character'
   FROM read_ WHERE entity = ''
@@ -312,9 +312,9 @@ def examples(cells: str) -> str:
 # Longest common subsequence by the textbook table, one list per row of it.
 LCS = """list_last(list_reduce(
   list_prepend([0 for i in range(length(t.term) + 1)], [[ord(ch)] for ch in string_split(header_key, '')]),
-  (above, cell) -> list_reduce(
+  lambda above, cell: list_reduce(
     list_prepend([0], [[j] for j in range(1, length(t.term) + 1)]),
-    (row, j) -> list_append(row, greatest(above[j[1] + 1], row[j[1]],
+    lambda line, j: list_append(line, greatest(above[j[1] + 1], line[j[1]],
       above[j[1]] + CASE WHEN ord(substr(t.term, j[1], 1)) = cell[1] THEN 1 ELSE 0 END)))))"""
 
 NAMES = """
@@ -521,8 +521,8 @@ SELECT 'ledger' AS source_file, row_number, entity, account_code, account_name,
   cr AS credit, currency, source_system
 FROM read_ WHERE row_number NOT IN (SELECT row_number FROM broken)""",
     "quarantine_detail": f"""WITH {DIRTY}
-SELECT 'ledger' AS source_file, row_number, arg_min(rule_id, at) AS rule_id, arg_min(field, at) AS field,
-  arg_min(detail, at) AS detail, string_agg(rule_id || ' ' || field, '; ' ORDER BY at) AS failures,
+SELECT 'ledger' AS source_file, row_number, arg_min(rule_id, place) AS rule_id, arg_min(field, place) AS field,
+  arg_min(detail, place) AS detail, string_agg(rule_id || ' ' || field, '; ' ORDER BY place) AS failures,
   any_value(debit) AS raw_debit, CAST(12 AS BIGINT) AS raw_fields
 FROM broken JOIN dirty USING (row_number) GROUP BY row_number""",
     "control_total": f"""WITH {DIRTY}, bad AS (SELECT DISTINCT row_number FROM broken)
@@ -608,9 +608,9 @@ SELECT provider, dataset, source_column, position, canonical_field, holder FROM
     "file_order_proposals": f"WITH {RESOLVED} SELECT {SHOWN}, state FROM res",
     "review_queue_sink": f"WITH {RESOLVED} SELECT {SHOWN}, state FROM res",
     "missing_fields": f"""WITH {RESOLVED}, wanted AS (
-  SELECT d.provider, d.dataset, 'f_' || replace(p_name, ' ', '_') AS field, at AS field_position
+  SELECT d.provider, d.dataset, 'f_' || replace(p_name, ' ', '_') AS field, place AS field_position
   FROM (SELECT DISTINCT provider, dataset FROM res) d,
-    (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS at FROM names))
+    (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS place FROM names))
 SELECT * FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM res r WHERE r.provider = w.provider
   AND r.dataset = w.dataset AND r.canonical_field = w.field AND r.state = 'resolved')""",
     "column_accounting": """SELECT COUNT(*) AS headers, COUNT(*) AS accounted, CAST(0 AS BIGINT) AS problems FROM part""",
