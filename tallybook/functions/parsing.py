@@ -20,26 +20,47 @@ DATE_DIRECTIVES = {
     "%%": "'%'",
 }
 
+# The shape each directive reads. Text of another shape is not tried,
+# which spares a failed parse per format and keeps years at four digits.
+DIRECTIVE_SHAPES = {
+    "%Y": "[0-9]{4}",
+    "%m": "[0-9]{1,2}",
+    "%d": "( [1-9]|[0-9]{1,2})",
+    "%b": "[A-Za-z]{3}",
+    "%B": "[A-Za-z]+",
+    "%j": "[0-9]{1,3}",
+    "%%": "%",
+}
+
 # What a whole number and a finite decimal look like as text.
 WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 DECIMAL_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
-def datetime_pattern(strptime_format: str) -> str:
-    """Translate a strptime format; refuse a directive with no equivalent."""
+def _format_parts(strptime_format: str) -> list[str]:
+    """Directives and the text between them; refuse a directive with no equivalent."""
     parts = re.findall(r"%.|[^%]+", strptime_format)
-    translated = []
     for part in parts:
-        if part.startswith("%"):
-            if part not in DATE_DIRECTIVES:
-                raise ValueError(f"date directive {part} in {strptime_format!r} is not supported")
-            translated.append(DATE_DIRECTIVES[part])
-        elif re.search("[A-Za-z]", part):
-            translated.append("'" + part.replace("'", "''") + "'")
-        else:
-            translated.append(part.replace("'", "''"))
-    return "".join(translated)
+        if part.startswith("%") and part not in DATE_DIRECTIVES:
+            raise ValueError(f"date directive {part} in {strptime_format!r} is not supported")
+    return parts
+
+
+def datetime_pattern(strptime_format: str) -> str:
+    """The Spark datetime pattern of a strptime format."""
+    return "".join(
+        DATE_DIRECTIVES[part] if part.startswith("%") else re.sub("([A-Za-z]+)", r"'\1'", part)
+        for part in _format_parts(strptime_format)
+    )
+
+
+def date_shape(strptime_format: str) -> str:
+    """A regular expression every text of a strptime format matches."""
+    return "^" + "".join(
+        DIRECTIVE_SHAPES[part] if part.startswith("%") else re.escape(part)
+        for part in _format_parts(strptime_format)
+    ) + "$"
 
 
 def money(value: Column) -> Column:
@@ -57,7 +78,16 @@ def date_from_formats(value: Column, formats: Sequence[str]) -> Column:
     """First configured format that reads the value; with no formats, NULL."""
     if not formats:
         return F.lit(None).cast("date")
-    return F.coalesce(*(F.try_to_date(value, datetime_pattern(f)) for f in formats))
+    return F.coalesce(*(_date_of(value, f) for f in formats))
+
+
+def _date_of(value: Column, strptime_format: str) -> Column:
+    text = value
+    if "%d" in strptime_format and " " not in strptime_format:
+        # A day padded with a space is the only space the shape lets through.
+        text = F.replace(value, F.lit(" "), F.lit(""))
+    parsed = F.try_to_date(text, datetime_pattern(strptime_format))
+    return F.when(value.rlike(date_shape(strptime_format)), parsed)
 
 
 def trimmed(value: Column) -> Column:

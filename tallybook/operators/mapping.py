@@ -17,6 +17,8 @@ from tallybook.functions.text import (
     sentence,
     similarity,
 )
+from tallybook.schemas import PROPOSALS_SCHEMA
+from tallybook.workspace import stage
 
 # Terms held in one row of the synonym side; more terms make more rows.
 TERMS_PER_ROW = 1_000
@@ -73,26 +75,26 @@ def synonym_terms(synonyms: DataFrame) -> DataFrame:
 # ---- tier 1 -----------------------------------------------------------------------
 
 
+def approved_columns(registry: DataFrame) -> DataFrame:
+    """Approved columns with the account of who approved them, when and at which tier."""
+    provenance = sentence(
+        "registry entry for ", F.col("provider"), " ", F.col("dataset"), ", approved by ",
+        F.coalesce(F.col("approved_by"), F.lit("an unrecorded approver")), " on ",
+        F.coalesce(F.col("approved_at"), F.lit("an unrecorded date")),
+        F.coalesce(sentence(" at tier ", F.col("source_tier")), F.lit("")),
+        F.when(F.length("rationale") > 0, sentence(": ", F.col("rationale"))).otherwise(""),
+    )
+    return registry.select(*FILE, "source_column", "canonical_field", provenance.alias("_provenance"))
+
+
 def tier1_registry(headers: DataFrame, registry: DataFrame) -> DataFrame:
     """Headers equal, letter for letter, to a column approved for their file."""
-    approved = registry.select(
-        *FILE,
-        "source_column",
-        "canonical_field",
-        sentence(
-            "registry entry for ", F.col("provider"), " ", F.col("dataset"), ", approved by ",
-            F.coalesce(F.col("approved_by"), F.lit("an unrecorded approver")), " on ",
-            F.coalesce(F.col("approved_at"), F.lit("an unrecorded date")),
-            F.coalesce(sentence(" at tier ", F.col("source_tier")), F.lit("")),
-            F.when(F.length("rationale") > 0, sentence(": ", F.col("rationale"))).otherwise(""),
-        ).alias("rationale"),
-    )
-    return headers.join(approved, [*FILE, "source_column"]).select(
+    return headers.join(approved_columns(registry), [*FILE, "source_column"]).select(
         *headers.columns,
         "canonical_field",
         F.lit(1.0).alias("confidence"),
         F.lit(1).alias("source_tier"),
-        "rationale",
+        F.col("_provenance").alias("rationale"),
     )
 
 
@@ -230,85 +232,92 @@ def gate_routing(
     """Every header with its best answer and where the gate sends it, before contests.
 
     ``settles`` is true for deterministic answers, and for proposals at or above the
-    gate from a provider and dataset that were approved before.
+    gate from a provider and dataset that were approved before. Each header meets the
+    registry, its nearest synonym and its proposal in turn; only spellings the
+    registry does not answer are compared with the synonyms.
     """
-    file_columns = ["provider", "dataset", "source_column", "position"]
-    by_registry = tier1_registry(headers, registry)
-    after1 = headers.join(by_registry.select(*FILE, "position"), [*FILE, "position"], "left_anti")
-    lexical = tier2_fuzzy_nearest(after1, synonyms)
-    exact = F.col("term") == F.col("header_key")
-    near_enough = F.coalesce(F.col("ratio") >= gate, F.lit(False))
-    exact_or_false = F.coalesce(exact, F.lit(False))
-    fuzzy_text = sentence(
-        "fuzzy match to synonym '", F.col("term"), "' for ", F.col("field"), " scoring ",
-        _two_places(F.col("ratio")), f", at or above the {gate:.2f} gate",
+    approved = approved_columns(registry).withColumnRenamed("canonical_field", "_approved")
+    looked_up = headers.withColumn("header_key", normalise_header(F.col("source_column"))).join(
+        approved, [*FILE, "source_column"], "left"
     )
-    by_synonym = lexical.where(near_enough).select(
-        *file_columns,
-        F.col("field").alias("canonical_field"),
-        F.when(exact_or_false, F.lit(1.0)).otherwise(F.col("ratio")).alias("confidence"),
-        F.lit(2).alias("source_tier"),
-        F.when(exact_or_false, "exact synonym match").otherwise(fuzzy_text).alias("rationale"),
+    open_keys = looked_up.where(F.col("_approved").isNull()).select("dataset", "header_key").distinct()
+    answers = proposals if proposals is not None else headers.sparkSession.createDataFrame([], PROPOSALS_SCHEMA)
+    answers = answers.select(
+        "dataset", "header_key", F.col("canonical_field").alias("_proposed"), "confidence",
+        F.col("rationale").alias("_stated"),
     )
-    left = lexical.where(~near_enough)
-    settled = by_registry.select(*by_synonym.columns).unionByName(by_synonym).withColumn("settles", F.lit(True))
-
-    account = F.when(
-        F.col("field").isNull(), "no synonym in the dataset's list came close"
-    ).otherwise(
-        sentence(
-            "nearest synonym '", F.col("term"), "' for ", F.col("field"), " scored ",
-            _two_places(F.col("ratio")), f", below the {gate:.2f} gate",
-        )
+    known = registry.select(*FILE).distinct().withColumn("_known", F.lit(True))
+    met = (
+        looked_up.join(nearest_argmax(open_keys, synonyms), ["dataset", "header_key"], "left")
+        .join(answers, ["dataset", "header_key"], "left")
+        .join(known, list(FILE), "left")
     )
+
+    by_registry = F.col("_approved").isNotNull()
+    exact = F.coalesce(F.col("term") == F.col("header_key"), F.lit(False))
+    by_synonym = F.coalesce(F.col("ratio") >= gate, F.lit(False))
+    by_proposal = F.col("_proposed").isNotNull()
+    named = sentence("'", F.col("term"), "' for ", F.col("field"))
+    score = _two_places(F.col("ratio"))
     reason = "no model attached" if proposals is None else "the model returned no proposal for this column"
-    unresolved_text = sentence("unresolved: ", account, f"; {reason}")
-    if proposals is None:
-        open_rows = left.select(
-            *file_columns,
-            F.lit(None).cast("string").alias("canonical_field"),
-            F.lit(0.0).alias("confidence"),
-            F.lit(None).cast("int").alias("source_tier"),
-            unresolved_text.alias("rationale"),
-            F.lit(False).alias("settles"),
-        )
-    else:
-        answers = proposals.select(
-            "dataset", "header_key", "canonical_field", "confidence",
-            F.col("rationale").alias("_stated"),
-        )
-        known = registry.select(*FILE).distinct().withColumn("_known", F.lit(True))
-        answered = F.col("canonical_field").isNotNull()
-        open_rows = (
-            left.join(answers, ["dataset", "header_key"], "left")
-            .join(known, list(FILE), "left")
-            .select(
-                *file_columns,
-                "canonical_field",
-                F.when(answered, F.col("confidence")).otherwise(0.0).alias("confidence"),
-                F.when(answered, 3).alias("source_tier"),
-                F.when(answered, F.col("_stated")).otherwise(unresolved_text).alias("rationale"),
-                (answered & (F.col("confidence") >= gate) & F.coalesce("_known", F.lit(False))).alias("settles"),
-            )
-        )
-    return settled.unionByName(open_rows)
+    account = F.when(F.col("term").isNull(), "no synonym in the dataset's list came close").otherwise(
+        sentence("nearest synonym ", named, " scored ", score, f", below the {gate:.2f} gate")
+    )
+    fuzzy = sentence(
+        "fuzzy match to synonym ", named, " scoring ", score, f", at or above the {gate:.2f} gate"
+    )
+    return met.select(
+        "provider",
+        "dataset",
+        "source_column",
+        "position",
+        F.when(by_registry, F.col("_approved"))
+        .when(by_synonym, F.col("field"))
+        .otherwise(F.col("_proposed"))
+        .alias("canonical_field"),
+        F.when(by_registry | (by_synonym & exact), 1.0)
+        .when(by_synonym, F.col("ratio"))
+        .when(by_proposal, F.col("confidence"))
+        .otherwise(0.0)
+        .alias("confidence"),
+        F.when(by_registry, 1).when(by_synonym, 2).when(by_proposal, 3).alias("source_tier"),
+        F.when(by_registry, F.col("_provenance"))
+        .when(by_synonym & exact, "exact synonym match")
+        .when(by_synonym, fuzzy)
+        .when(by_proposal, F.col("_stated"))
+        .otherwise(sentence("unresolved: ", account, f"; {reason}"))
+        .alias("rationale"),
+        (
+            by_registry
+            | by_synonym
+            | (by_proposal & (F.col("confidence") >= gate) & F.col("_known").isNotNull())
+        ).alias("settles"),
+    )
 
 
-def contested_field(routed: DataFrame) -> DataFrame:
-    """Settling answers whose field an earlier column of the same file holds.
+def _with_holder(routed: DataFrame) -> DataFrame:
+    """Each answer with the first column of its file that settles on the same field.
 
     The holder is found by aggregation and joined back, so a field that very many
     columns claim is never gathered into one task.
     """
-    settling = routed.where("settles")
-    holders = settling.groupBy(*FILE, "canonical_field").agg(
-        F.min(F.struct("position", "source_column")).alias("_holder")
-    )
-    return (
-        settling.join(holders, [*FILE, "canonical_field"])
-        .where(F.col("position") > F.col("_holder.position"))
-        .select(*routed.columns, F.col("_holder.source_column").alias("holder"))
+    holders = (
+        routed.where("settles")
+        .groupBy(*FILE, "canonical_field")
+        .agg(F.min(F.struct("position", "source_column")).alias("_holder"))
     )
+    return routed.join(holders, [*FILE, "canonical_field"], "left")
+
+
+def _is_contested() -> Column:
+    later = F.col("position") > F.col("_holder.position")
+    return F.coalesce(F.col("settles") & later, F.lit(False))
+
+
+def contested_field(routed: DataFrame) -> DataFrame:
+    """Settling answers whose field an earlier column of the same file holds."""
+    contested = _with_holder(routed).where(_is_contested())
+    return contested.select(*routed.columns, F.col("_holder.source_column").alias("holder"))
 
 
 def resolve_columns(
@@ -318,17 +327,17 @@ def resolve_columns(
     proposals: DataFrame | None,
     gate: float,
 ) -> DataFrame:
-    """Each header once, either ``resolved`` to a field or in ``review``."""
-    routed = gate_routing(headers, registry, synonyms, proposals, gate)
-    holders = (
-        routed.where("settles")
-        .groupBy(*FILE, "canonical_field")
-        .agg(F.min(F.struct("position", "source_column")).alias("_holder"))
-    )
-    contested = F.coalesce(
-        F.col("settles") & (F.col("position") > F.col("_holder.position")), F.lit(False)
+    """Each header once, either ``resolved`` to a field or in ``review``.
+
+    The routed answers are written before contests are looked for, so the synonym
+    comparison runs once.
+    """
+    routed = stage(gate_routing(headers, registry, synonyms, proposals, gate), "routed")
+    adjudicate = sentence(
+        F.col("rationale"), "; '", F.col("_holder.source_column"), "' already resolves to ",
+        F.col("canonical_field"), ", so both need adjudication",
     )
-    return routed.join(holders, [*FILE, "canonical_field"], "left").select(
+    return _with_holder(routed).select(
         "provider",
         "dataset",
         "source_column",
@@ -336,16 +345,8 @@ def resolve_columns(
         "canonical_field",
         "confidence",
         "source_tier",
-        F.when(
-            contested,
-            sentence(
-                F.col("rationale"), "; '", F.col("_holder.source_column"), "' already resolves to ",
-                F.col("canonical_field"), ", so both need adjudication",
-            ),
-        )
-        .otherwise(F.col("rationale"))
-        .alias("rationale"),
-        F.when(F.col("settles") & ~contested, "resolved").otherwise("review").alias("state"),
+        F.when(_is_contested(), adjudicate).otherwise(F.col("rationale")).alias("rationale"),
+        F.when(F.col("settles") & ~_is_contested(), "resolved").otherwise("review").alias("state"),
     )
 
 

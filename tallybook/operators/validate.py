@@ -1,7 +1,8 @@
 """Validation: a row that breaks a rule is quarantined whole, never repaired.
 
-The raw columns are text. ``check_rows`` parses each field once and lists every
-broken rule on the row; accepted and quarantined are two filters over its result.
+The raw columns are text. ``check_rows`` parses each field and decides whether the
+row holds; only a row that does not carries its raw values and the list of rules it
+breaks. Accepted and quarantined rows are two filters over that one table.
 """
 
 from __future__ import annotations
@@ -93,6 +94,19 @@ def _line_failure(field: str, value: Column, parsed: Column) -> Column:
     )
 
 
+def field_failure(
+    rule: str, field: str, value: Column, parsed: Column, date_formats: Sequence[str]
+) -> Column:
+    """The rule a field breaks, as a struct; NULL if it breaks none."""
+    if rule in ("required", "text"):
+        return _text_failure(field, value, rule == "required")
+    if rule in ("money", "movement"):
+        return _money_failure(field, value, parsed, rule == "movement")
+    if rule == "date":
+        return _date_failure(field, value, parsed, date_formats)
+    return _line_failure(field, value, parsed)
+
+
 def parsed_field(rule: str, value: Column, date_formats: Sequence[str]) -> Column:
     if rule in ("money", "movement"):
         return money(value)
@@ -103,69 +117,77 @@ def parsed_field(rule: str, value: Column, date_formats: Sequence[str]) -> Colum
     return value
 
 
+def field_holds(rule: str, parsed: Column) -> Column:
+    """Whether a parsed field obeys its rule. Never NULL."""
+    if rule == "required":
+        return F.coalesce(F.length(parsed) > 0, F.lit(False))
+    if rule == "movement":
+        return F.coalesce(parsed >= 0, F.lit(False))
+    if rule == "line_no":
+        return F.coalesce(parsed >= 1, F.lit(False))
+    return parsed.isNotNull()
+
+
 def check_rows(
     raw: DataFrame,
     rules: Mapping[str, str],
     date_formats: Sequence[str],
     source_columns: Sequence[str] = SOURCE_COLUMNS,
 ) -> DataFrame:
-    """Every raw row with its parsed fields and all the rules it breaks.
+    """Every raw row with its parsed fields and whether it holds.
 
-    Out: source columns, ``raw`` (the values as they arrived), the canonical fields
-    (NULL where unreadable) and ``failures``, in field order.
+    Out: source columns, the canonical fields (NULL where unreadable), ``holds``, and
+    for rows that do not hold ``failures`` (in field order) and ``raw`` (the values as
+    they arrived). The failure texts are only built for those rows.
     """
     kept = [c for c in source_columns if c in raw.columns]
     arrived = [c for c in raw.columns if c not in kept]
     unexpected = [c for c in arrived if c not in rules]
+    absent = [f for f in rules if f not in arrived]
 
-    values = {f: F.col(f"_raw.{f}") for f in rules if f in arrived}
-    whole = raw.select(*kept, F.struct(*(F.col(f"`{c}`") for c in arrived)).alias("_raw"))
+    whole = raw.select(*kept, *(F.col(f"`{c}`").alias(f"_raw_{i}") for i, c in enumerate(arrived)))
+    value = {c: F.col(f"_raw_{i}") for i, c in enumerate(arrived)}
     parsed = whole.withColumns(
         {
-            field: parsed_field(rule, values[field], date_formats)
-            if field in values
+            field: parsed_field(rule, value[field], date_formats)
+            if field in value
             else F.lit(None).cast("string")
             for field, rule in rules.items()
         }
     )
-
-    failures = []
+    holds = F.lit(not unexpected and not absent)
     for field, rule in rules.items():
-        if field not in values:
-            failures.append(_failure("V-REQUIRED", field, ABSENT))
-            continue
-        value, read = values[field], F.col(field)
-        if rule in ("required", "text"):
-            failures.append(_text_failure(field, value, rule == "required"))
-        elif rule in ("money", "movement"):
-            failures.append(_money_failure(field, value, read, rule == "movement"))
-        elif rule == "date":
-            failures.append(_date_failure(field, value, read, date_formats))
-        else:
-            failures.append(_line_failure(field, value, read))
+        holds = holds & field_holds(rule, F.col(field))
+    judged = parsed.withColumn("holds", holds)
+
+    failures = [
+        field_failure(rule, field, value[field], F.col(field), date_formats)
+        if field in value
+        else _failure("V-REQUIRED", field, ABSENT)
+        for field, rule in rules.items()
+    ]
     failures += [_failure("V-UNEXPECTED-FIELD", field, UNEXPECTED) for field in unexpected]
-
-    pairs = F.array(
-        *(F.struct(F.lit(c).alias("k"), F.col(f"_raw.`{c}`").alias("v")) for c in arrived)
-    )
-    return parsed.select(
+    pairs = F.array(*(F.struct(F.lit(c).alias("k"), value[c].alias("v")) for c in arrived))
+    broken = ~F.col("holds")
+    return judged.select(
         *kept,
-        F.map_from_entries(pairs).alias("raw"),
         *rules,
-        F.filter(F.array(*failures), lambda x: x.isNotNull()).alias("failures"),
+        "holds",
+        F.when(broken, F.filter(F.array(*failures), lambda x: x.isNotNull())).alias("failures"),
+        F.when(broken, F.map_from_entries(pairs)).alias("raw"),
     )
 
 
 def accepted_rows(checked: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Rows that break no rule, as canonical records with their source columns."""
     kept = [c for c in SOURCE_COLUMNS if c in checked.columns]
-    return checked.where(F.size("failures") == 0).select(*kept, *rules)
+    return checked.where("holds").select(*kept, *rules)
 
 
 def quarantined_rows(checked: DataFrame) -> DataFrame:
     """Rows that break a rule: the first at top level, all in ``failures``, raw kept."""
     kept = [c for c in SOURCE_COLUMNS if c in checked.columns]
-    return checked.where(F.size("failures") > 0).select(
+    return checked.where(~F.col("holds")).select(
         *kept, F.col("failures")[0].alias("_first"), "failures", "raw"
     ).select(*kept, "_first.*", "failures", "raw")
 
@@ -185,9 +207,8 @@ def control_total(received: DataFrame, checked: DataFrame) -> DataFrame:
     ``received`` is the scan itself, so that a row lost on the way shows.
     """
     arrived = received.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_received"))
-    failed = F.size("failures") > 0
     became = checked.groupBy("source_file").agg(
-        F.count_if(~failed).alias("rows_accepted"), F.count_if(failed).alias("rows_quarantined")
+        F.count_if("holds").alias("rows_accepted"), F.count_if(~F.col("holds")).alias("rows_quarantined")
     )
     counts = ("rows_received", "rows_accepted", "rows_quarantined")
     joined = arrived.join(became, "source_file", "full_outer").select(
