@@ -76,21 +76,6 @@ def _per_order(postings: DataFrame) -> DataFrame:
     )
 
 
-def _order_line(orders: DataFrame, code: str, line_no: int, text: str, debit, credit) -> DataFrame:
-    return orders.select(
-        "order_key",
-        "journal_id",
-        F.lit(code).alias("account_code"),
-        F.lit(line_no).cast("bigint").alias("line_no"),
-        "posting_date",
-        F.lit(text).alias("description"),
-        debit.alias("debit"),
-        credit.alias("credit"),
-        F.lit("").alias("_file"),
-        F.lit(0).cast("bigint").alias("_place"),
-    )
-
-
 def _canonical(lines: DataFrame) -> DataFrame:
     return lines.withColumns(
         {
@@ -103,39 +88,69 @@ def _canonical(lines: DataFrame) -> DataFrame:
     )
 
 
-def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _postings(spark, sf_dir)
-    contra = _order_line(_per_order(postings), "4000", 1000, "contra", _money("0"), F.col("total"))
-    return _canonical(postings.unionByName(contra))
+def _with_extras(own, first, second):
+    """The array of ``own`` and whichever of two (condition, value) extras apply."""
+    (is_first, one), (is_second, two) = first, second
+    return (
+        F.when(is_first & is_second, F.array(own, one, two))
+        .when(is_first, F.array(own, one))
+        .when(is_second, F.array(own, two))
+        .otherwise(F.array(own))
+    )
 
 
-def planted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    postings = _postings(spark, sf_dir)
-    orders = _per_order(postings)
+def _ledger_lines(spark: SparkSession, sf_dir: str, planted: bool) -> DataFrame:
+    """Lines of postings and of orders. A posting gives its own line and perhaps a copy
+    or a re-keyed one; an order gives its contra and perhaps a one-sided or stray line.
+    ``_copy`` tells a line from its exact copy."""
     key = F.col("order_key")
-    one_sided = _order_line(
-        orders.where(key % 997 == 0), "P1", 1001, "one-sided", _money("250.00"), _money("0")
-    )
-    copies = postings.where(key % 499 == 1)
-    rekeyed = postings.where(key % 613 == 2).withColumn(
-        "journal_id", F.concat(F.lit("X"), F.col("journal_id"))
-    )
-    stray = _order_line(
-        orders.where(key % 1009 == 3), "9999", 1002, "stray", _money("75.00"), _money("75.00")
+    postings = _postings(spark, sf_dir)
+
+    def posting(journal, copy: int):
+        return F.struct(journal.alias("journal_id"), F.lit(copy).alias("_copy"))
+
+    own = posting(F.col("journal_id"), 0)
+    given = F.array(own)
+    if planted:
+        copy = posting(F.col("journal_id"), 1)
+        rekeyed = posting(F.concat(F.lit("X"), "journal_id"), 1)
+        given = _with_extras(own, (key % 499 == 1, copy), (key % 613 == 2, rekeyed))
+    lines = postings.withColumn("_line", F.explode(given)).select(*(c for c in postings.columns if c != "journal_id"), "_line.*")
+
+    def extra(code: str, line_no: int, text: str, debit, credit):
+        return F.struct(
+            F.lit(code).alias("account_code"),
+            F.lit(line_no).cast("bigint").alias("line_no"),
+            F.lit(text).alias("description"),
+            debit.alias("debit"),
+            credit.alias("credit"),
+        )
+
+    contra = extra("4000", 1000, "contra", _money("0"), F.col("total"))
+    given = F.array(contra)
+    if planted:
+        one_sided = extra("P1", 1001, "one-sided", _money("250.00"), _money("0"))
+        stray = extra("9999", 1002, "stray", _money("75.00"), _money("75.00"))
+        given = _with_extras(contra, (key % 997 == 0, one_sided), (key % 1009 == 3, stray))
+    of_orders = _per_order(postings).select(
+        "order_key", "journal_id", "posting_date",
+        F.explode(given).alias("_line"),
+    ).select(
+        "order_key", "journal_id", "posting_date", "_line.*",
+        F.lit("").alias("_file"), F.lit(0).cast("bigint").alias("_place"), F.lit(0).alias("_copy"),
     )
-    extra = one_sided.unionByName(copies).unionByName(rekeyed).unionByName(stray)
-    return _canonical(extra)
+    return _canonical(lines.unionByName(of_orders))
+
+
+def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ledger_lines(spark, sf_dir, planted=False)
 
 
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger as delivered, numbered in journal order."""
 
     def build() -> DataFrame:
-        lines = (
-            clean_lines(spark, sf_dir)
-            .withColumn("_copy", F.lit(0))
-            .unionByName(planted_lines(spark, sf_dir).withColumn("_copy", F.lit(1)))
-        )
+        lines = _ledger_lines(spark, sf_dir, planted=True)
         order = [
             "journal_id", "line_no", "account_code", "posting_date", "debit", "credit",
             "description", "_copy", "_file", "_place",

@@ -111,18 +111,18 @@ def account_totals(spark, sf_dir):
 @query
 def c2_detail_vs_summary(spark, sf_dir):
     return register(
-        C.c2_detail_vs_summary(L.detail(spark, sf_dir), L.summary(spark, sf_dir), E.tolerance, RUN)
+        C.c2_detail_vs_summary(T.account_totals(L.detail(spark, sf_dir)), L.summary(spark, sf_dir), E.tolerance, RUN)
     )
 
 
 @query
 def c3_summary_only(spark, sf_dir):
-    return register(C.c3_summary_only(L.detail(spark, sf_dir), L.summary(spark, sf_dir), E.tolerance, RUN))
+    return register(C.c3_summary_only(T.account_totals(L.detail(spark, sf_dir)), L.summary(spark, sf_dir), E.tolerance, RUN))
 
 
 @query
 def c3_detail_only(spark, sf_dir):
-    return register(C.c3_detail_only(L.detail(spark, sf_dir), L.summary(spark, sf_dir), E.tolerance, RUN))
+    return register(C.c3_detail_only(T.account_totals(L.detail(spark, sf_dir)), L.summary(spark, sf_dir), E.tolerance, RUN))
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from catalog.ledger import _once, detail, table
 from tallybook.functions.text import normalise_header
 from tallybook.schemas import DETAIL_RULES
-from tallybook.workspace import new_path
+from tallybook.workspace import new_path, stage
 
 # Source columns of the text files written from the ledger.
 HEADER = {
@@ -39,6 +39,11 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spoilt text, as a table that was delivered. Written once."""
+    return _once(spark, sf_dir, "dirty", lambda: stage(_spoilt_text(spark, sf_dir), "dirty-text"))
+
+
+def _spoilt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text rows in three date formats, spoilt by row number, with their source."""
     lines = detail(spark, sf_dir)
     n = F.col("row_index")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallybook.config import UNIDENTIFIED_RUN
 from tallybook.functions.grading import above_materiality, severity
 from tallybook.functions.text import money_text, plural, sentence
-from tallybook.operators.totals import account_totals, journal_totals, zero
+from tallybook.operators.totals import journal_totals, zero
 from tallybook.schemas import CONTROL_POSITION, ORDER_COLUMNS, REGISTER_COLUMNS
 
 # How many broken accounts, rows or journals one evidence sentence spells out.
@@ -164,10 +164,13 @@ def c1_detail_text() -> Column:
 
 
 def c2_detail_vs_summary(
-    detail: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
+    totals: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
 ) -> DataFrame:
-    """Every summary row whose closing balance the detail does not lead to."""
-    moved = account_totals(detail).select("account_code", "debits", "credits", "lines")
+    """Every summary row whose closing balance the detail does not lead to.
+
+    ``totals`` is ``account_totals(detail)``: C2 and both sides of C3 read the same one.
+    """
+    moved = totals.select("account_code", "debits", "credits", "lines")
     joined = summary.join(moved, "account_code", "left").withColumns(
         {
             "debits": F.coalesce("debits", zero()),
@@ -204,11 +207,12 @@ def c2_detail_vs_summary(
 
 
 def c3_summary_only(
-    detail: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
+    totals: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
 ) -> DataFrame:
     """Summary accounts no detail line was posted to."""
-    posted = detail.select("account_code").distinct()
-    rows = last_row_per_account(summary).join(posted, "account_code", "left_anti")
+    rows = last_row_per_account(summary).join(
+        totals.select("account_code"), "account_code", "left_anti"
+    )
     code = F.col("account_code")
     return as_findings(
         rows,
@@ -228,10 +232,10 @@ def c3_summary_only(
 
 
 def c3_detail_only(
-    detail: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
+    totals: DataFrame, summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
 ) -> DataFrame:
     """Accounts with detail lines that the summary does not carry."""
-    rows = account_totals(detail).join(
+    rows = totals.join(
         summary.select("account_code").distinct(), "account_code", "left_anti"
     )
     movement = (F.col("debits") - F.col("credits")).cast("decimal(38,2)")

@@ -46,20 +46,23 @@ def _is_dated(value: Column) -> Column:
     return date_from_formats(value, DATE_SHAPES).isNotNull()
 
 
-def kind_inference(counts: DataFrame) -> DataFrame:
+def _kind() -> Column:
     """empty / integer / decimal / date / text: the first all populated values fit."""
     value = F.col("value")
     populated = F.length(value) > 0
-    return counts.groupBy("column").agg(
+    return (
         F.when(F.count_if(populated) == 0, "empty")
         .when(F.count_if(populated & ~value.rlike(WHOLE_NUMBER)) == 0, "integer")
         .when(F.count_if(populated & ~value.rlike(DECIMAL_NUMBER)) == 0, "decimal")
         .when(F.count_if(populated & ~_is_dated(value)) == 0, "date")
         .otherwise("text")
-        .alias("kind")
     )
 
 
+def kind_inference(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("column").agg(_kind().alias("kind"))
+
+
 def examples(counts: DataFrame, count: int = EXAMPLES) -> DataFrame:
     """The first distinct values of each column, in the order they were first seen."""
     seen = W.partitionBy("column").orderBy("first_row", "value")
@@ -80,9 +83,8 @@ def column_profile(rows: DataFrame, columns: Sequence[str], example_count: int =
         F.sum("rows").alias("rows"),
         F.coalesce(F.sum(F.when(populated, F.col("rows"))), F.lit(0)).alias("populated"),
         F.count_if(populated).alias("distinct"),
+        _kind().alias("kind"),
     )
     return (
-        figures.join(kind_inference(counts), "column")
-        .join(examples(counts, example_count), "column", "left")
-        .withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
+        figures.join(examples(counts, example_count), "column", "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
     )

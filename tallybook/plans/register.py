@@ -11,6 +11,7 @@ from tallybook.config import UNIDENTIFIED_RUN, Engagement
 from tallybook.errors import ControlArithmeticError
 from tallybook.operators import controls as C
 from tallybook.operators import dedupe as D
+from tallybook.operators.totals import account_totals
 from tallybook.schemas import (
     CONTROL_POSITION,
     CONTROL_SUMMARY_COLUMNS,
@@ -33,13 +34,18 @@ def all_findings(
     run_id: str,
     duplicates: DataFrame,
 ) -> DataFrame:
-    """Findings of all seven controls. ``duplicates`` are DEDUPE's own."""
+    """Findings of all seven controls. ``duplicates`` are DEDUPE's own.
+
+    The per-account totals are written first: three controls read them, and their size
+    is then known when Catalyst picks the joins.
+    """
     tolerance = engagement.tolerance
+    totals = stage(account_totals(detail), "account-totals")
     found = [
         C.c1_journal_balance(detail, tolerance, run_id),
-        C.c2_detail_vs_summary(detail, summary, tolerance, run_id),
-        C.c3_summary_only(detail, summary, tolerance, run_id),
-        C.c3_detail_only(detail, summary, tolerance, run_id),
+        C.c2_detail_vs_summary(totals, summary, tolerance, run_id),
+        C.c3_summary_only(totals, summary, tolerance, run_id),
+        C.c3_detail_only(totals, summary, tolerance, run_id),
         C.c4_cutoff(detail, engagement.year_start, engagement.year_end, tolerance, run_id),
         C.c6_tb_internal(summary, tolerance, run_id),
         duplicates,

@@ -129,7 +129,8 @@ def with_row_position(rows: DataFrame) -> DataFrame:
 def _width(line: Column, delimiter: str) -> Column:
     """Fields on a line: unquoted delimiters plus one."""
     d = re.escape(delimiter)
-    bare = F.regexp_replace(line, rf'(^|{d})"(?:[^"]|"")*"', "$1")
+    unquoted = F.regexp_replace(line, rf'(^|{d})"(?:[^"]|"")*"', "$1")
+    bare = F.when(line.contains('"'), unquoted).otherwise(line)
     return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
 
 
@@ -151,13 +152,16 @@ def format_audit(
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_name").alias("source_file"),
-        F.regexp_replace("value", "\r$", "").alias("line"),
+        F.col("value").alias("line"),
     )
+    # The text reader passes bytes through, so each line still shows what it was. No
+    # newline byte falls inside a UTF-8 character, so lines can be judged one by one.
     utf8 = F.is_valid_utf8("line")
+    ascii_only = utf8 & (F.octet_length("line") == F.length("line"))
     reads = {
         "UTF-8": F.count_if(~utf8) == 0,
         "ISO-8859-1": F.lit(True),
-        "US-ASCII": F.count_if(F.octet_length("line") != F.length("line")) == 0,
+        "US-ASCII": F.count_if(~ascii_only) == 0,
     }
     populated = F.length("line") > 0
     widths = {

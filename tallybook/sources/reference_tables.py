@@ -79,8 +79,9 @@ def registry_table(document: DataFrame) -> DataFrame:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    document = spark.read.schema(REGISTRY_DOCUMENT).option("multiLine", True).json(path)
-    if document.where(F.col("clients").isNull()).limit(1).count():
+    reader = spark.read.schema(REGISTRY_DOCUMENT).options(multiLine=True, mode="FAILFAST")
+    document = reader.json(path)
+    if document.isEmpty():
         raise MappingError(f"{path} does not hold a registry object")
     return registry_table(document)
 

@@ -50,7 +50,8 @@ def stage_with_index(df: DataFrame, order: list[Column], name: str, index: str =
     path = new_path(spark, name)
     df.orderBy(*order).write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
-    part = F.split_part("_metadata.file_name", F.lit("-"), F.lit(2)).cast("int")
+    # Files are called part-<number>-<rest>; the number is five digits or more.
+    part = F.substring(F.substring_index("_metadata.file_name", "-", 2), 6, 10).cast("int")
     sizes = {
         row.part: row.rows
         for row in written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()

@@ -37,30 +37,30 @@ def test_first_line_names_the_entity(spark):
     lines = [line("J", "1", "5", entity="ZZ"), line("J", "1", "5", entity="AA")]
     assert rows(C.c1_journal_balance(detail(spark, lines), T))[0].entity == "ZZ"
     assert account_totals(detail(spark, lines)).first().entity == "ZZ"
-    assert rows(C.c3_detail_only(detail(spark, lines), summary(spark, []), T))[0].entity == "ZZ"
+    assert rows(C.c3_detail_only(account_totals(detail(spark, lines)), summary(spark, []), T))[0].entity == "ZZ"
 
 
 def test_c2_difference_dormant_and_repeated_rows(spark):
     gl = detail(spark, [line("J", "1000", "500")])
     tb = summary(spark, [balance("1000", closing="400"), balance("1500", "95000", closing="95000")])
-    (found,) = rows(C.c2_detail_vs_summary(gl, tb, T))
+    (found,) = rows(C.c2_detail_vs_summary(account_totals(gl), tb, T))
     assert (found.account_code, found.value, found.severity, found.record_count) == ("1000", D("100.00"), "MEDIUM", 2)
     twice = summary(spark, [balance("1000", closing="400"), balance("1000", closing="450")])
-    assert [r.value for r in rows(C.c2_detail_vs_summary(gl, twice, T))] == [D("100.00"), D("50.00")]
+    assert [r.value for r in rows(C.c2_detail_vs_summary(account_totals(gl), twice, T))] == [D("100.00"), D("50.00")]
 
 
 def test_c2_ignores_posting_dates(spark):
     gl = detail(spark, [line("J", "1000", "500", date=dt.date(1999, 1, 1))])
-    assert rows(C.c2_detail_vs_summary(gl, summary(spark, [balance("1000", closing="500")]), T)) == []
+    assert rows(C.c2_detail_vs_summary(account_totals(gl), summary(spark, [balance("1000", closing="500")]), T)) == []
 
 
 def test_c3_both_sides(spark):
     gl = detail(spark, [line("J", "8888", "70", "20"), line("J", "1000", "1")])
     tb = summary(spark, [balance("9999", closing="-750"), balance("1000", closing="1")])
-    (only_tb,) = rows(C.c3_summary_only(gl, tb, T))
+    (only_tb,) = rows(C.c3_summary_only(account_totals(gl), tb, T))
     assert (only_tb.account_code, only_tb.value, only_tb.record_count) == ("9999", D("750.00"), 1)
     assert only_tb.evidence.endswith("with a closing balance of -750.00 and has no General Ledger lines")
-    (only_gl,) = rows(C.c3_detail_only(gl, tb, T))
+    (only_gl,) = rows(C.c3_detail_only(account_totals(gl), tb, T))
     assert (only_gl.account_code, only_gl.value) == ("8888", D("50.00"))
     assert only_gl.evidence == (
         "account 8888 carries 1 General Ledger lines moving 50.00 and does not appear in the Trial Balance"
@@ -102,9 +102,9 @@ def test_c6_is_one_finding(spark):
 def test_tolerance_is_strict(spark):
     gl = detail(spark, [line("J", "1", "1000")])
     tb = summary(spark, [balance("1")])
-    (found,) = rows(C.c2_detail_vs_summary(gl, tb, T))
+    (found,) = rows(C.c2_detail_vs_summary(account_totals(gl), tb, T))
     assert not found.above_materiality and found.severity == "MEDIUM"
-    (found,) = rows(C.c2_detail_vs_summary(gl, tb, D("999.99")))
+    (found,) = rows(C.c2_detail_vs_summary(account_totals(gl), tb, D("999.99")))
     assert found.above_materiality and found.severity == "HIGH"
 
 
