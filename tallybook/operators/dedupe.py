@@ -27,6 +27,8 @@ UNIT_SEPARATOR = "\u001f"
 HOT_ROWS = 1_000_000
 # Most hot keys a broadcast may hold; beyond, AQE's skew join splits them.
 HOT_KEYS = 100_000
+# Most groups whose digests are broadcast to drop the lines outside them.
+BROADCAST_GROUPS = 100_000
 # Width of a row_index range numbered by one window task.
 INDEX_RANGE = 1_000_000
 
@@ -150,36 +152,57 @@ def decision_id() -> Column:
     return sentence("DUP-", F.col("kind"), "-", F.substring("digest", 1, 12))
 
 
-def described_groups(
-    candidates: DataFrame, evidence_limit: int = EVIDENCE_LIMIT, index_range: int = INDEX_RANGE
-) -> DataFrame:
-    """One row per group: its first line's fields, first rows and first journals."""
-    members = duplicate_members(candidates, index_range)
-    listed = (
-        members.where(F.col("occurrence") <= evidence_limit)
-        .groupBy("kind", "digest")
+def _first_rows(candidates: DataFrame, key: str, groups: DataFrame, limit: int) -> DataFrame:
+    """Per digest: its first row indices and its first line's fields.
+
+    Rank filters run before the shuffle, so each task sends ``limit`` rows of a group at
+    most, however many the group has. Where the groups are few, lines outside them are
+    dropped first, by broadcast.
+    """
+    lines = candidates.withColumnRenamed(key, "digest").select("digest", *EXACT_KEY, "row_index")
+    if groups.count() <= BROADCAST_GROUPS:
+        lines = lines.join(F.broadcast(groups.select("digest")), "digest", "left_semi")
+    place = F.row_number().over(W.partitionBy("digest").orderBy("row_index"))
+    return (
+        lines.withColumn("_place", place)
+        .where(F.col("_place") <= limit)
+        .groupBy("digest")
         .agg(
             F.sort_array(F.collect_list("row_index")).alias("rows_listed"),
-            F.min_by(F.struct(*EXACT_KEY), "occurrence").alias("first"),
-            F.first("group_rows").alias("group_rows"),
-            F.first("journals").alias("journals"),
-            F.first("first_row").alias("first_row"),
+            F.min_by(F.struct(*EXACT_KEY), "_place").alias("first"),
         )
     )
-    suspected = suspected_groups(candidates).select("digest")
-    journals = (
-        candidates.select(F.col("suspected_key").alias("digest"), "journal_id")
-        .join(suspected, "digest")
-        .distinct()
-        # Rank filters are applied before the shuffle, so a group sends each task's
-        # first few journals only.
-        .withColumn("_place", F.row_number().over(W.partitionBy("digest").orderBy("journal_id")))
-        .where(F.col("_place") <= evidence_limit)
+
+
+def _first_journals(candidates: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
+    """Per suspected digest: its first journals in order, limited the same way."""
+    pairs = candidates.select(F.col("suspected_key").alias("digest"), "journal_id")
+    if groups.count() <= BROADCAST_GROUPS:
+        pairs = pairs.join(F.broadcast(groups.select("digest")), "digest", "left_semi")
+    place = F.row_number().over(W.partitionBy("digest").orderBy("journal_id"))
+    return (
+        pairs.distinct()
+        .withColumn("_place", place)
+        .where(F.col("_place") <= limit)
         .groupBy("digest")
         .agg(F.sort_array(F.collect_list("journal_id")).alias("journals_listed"))
-        .select("digest", F.lit("SUSPECTED").alias("kind"), "journals_listed")
     )
-    return listed.join(journals, ["kind", "digest"], "left")
+
+
+def described_groups(candidates: DataFrame, evidence_limit: int = EVIDENCE_LIMIT) -> DataFrame:
+    """One row per group: its first line's fields, first rows and first journals.
+
+    The groups are written first; how many there are decides how lines meet them.
+    """
+    groups = stage(duplicate_groups(candidates), "duplicate-groups")
+    exact, suspected = groups.where("kind = 'EXACT'"), groups.where("kind = 'SUSPECTED'")
+    of_exact = exact.join(_first_rows(candidates, "exact_key", exact, evidence_limit), "digest").withColumn(
+        "journals_listed", F.array("first.journal_id")
+    )
+    of_suspected = suspected.join(
+        _first_rows(candidates, "suspected_key", suspected, evidence_limit), "digest"
+    ).join(_first_journals(candidates, suspected, evidence_limit), "digest")
+    return of_exact.unionByName(of_suspected)
 
 
 def _more(total: Column, listed: Column) -> Column:
