@@ -152,19 +152,24 @@ def decision_id() -> Column:
     return sentence("DUP-", F.col("kind"), "-", F.substring("digest", 1, 12))
 
 
-def _first_rows(candidates: DataFrame, key: str, groups: DataFrame, limit: int) -> DataFrame:
+def _of_groups(lines: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
+    """Drop lines outside the groups where the groups are few enough to broadcast."""
+    return lines.join(F.broadcast(groups.select("digest")), "digest", "left_semi") if few else lines
+
+
+def _first_rows(
+    candidates: DataFrame, key: str, groups: DataFrame, few: bool, limit: int
+) -> DataFrame:
     """Per digest: its first row indices and its first line's fields.
 
     Rank filters run before the shuffle, so each task sends ``limit`` rows of a group at
-    most, however many the group has. Where the groups are few, lines outside them are
-    dropped first, by broadcast.
+    most, however many the group has.
     """
     lines = candidates.withColumnRenamed(key, "digest").select("digest", *EXACT_KEY, "row_index")
-    if groups.count() <= BROADCAST_GROUPS:
-        lines = lines.join(F.broadcast(groups.select("digest")), "digest", "left_semi")
     place = F.row_number().over(W.partitionBy("digest").orderBy("row_index"))
     return (
-        lines.withColumn("_place", place)
+        _of_groups(lines, groups, few)
+        .withColumn("_place", place)
         .where(F.col("_place") <= limit)
         .groupBy("digest")
         .agg(
@@ -174,14 +179,13 @@ def _first_rows(candidates: DataFrame, key: str, groups: DataFrame, limit: int)
     )
 
 
-def _first_journals(candidates: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
+def _first_journals(candidates: DataFrame, groups: DataFrame, few: bool, limit: int) -> DataFrame:
     """Per suspected digest: its first journals in order, limited the same way."""
     pairs = candidates.select(F.col("suspected_key").alias("digest"), "journal_id")
-    if groups.count() <= BROADCAST_GROUPS:
-        pairs = pairs.join(F.broadcast(groups.select("digest")), "digest", "left_semi")
     place = F.row_number().over(W.partitionBy("digest").orderBy("journal_id"))
     return (
-        pairs.distinct()
+        _of_groups(pairs, groups, few)
+        .distinct()
         .withColumn("_place", place)
         .where(F.col("_place") <= limit)
         .groupBy("digest")
@@ -195,13 +199,16 @@ def described_groups(candidates: DataFrame, evidence_limit: int = EVIDENCE_LIMIT
     The groups are written first; how many there are decides how lines meet them.
     """
     groups = stage(duplicate_groups(candidates), "duplicate-groups")
+    sizes = {r.kind: r["count"] for r in groups.groupBy("kind").count().collect()}
     exact, suspected = groups.where("kind = 'EXACT'"), groups.where("kind = 'SUSPECTED'")
-    of_exact = exact.join(_first_rows(candidates, "exact_key", exact, evidence_limit), "digest").withColumn(
-        "journals_listed", F.array("first.journal_id")
-    )
+    few_exact = sizes.get("EXACT", 0) <= BROADCAST_GROUPS
+    few_suspected = sizes.get("SUSPECTED", 0) <= BROADCAST_GROUPS
+    of_exact = exact.join(
+        _first_rows(candidates, "exact_key", exact, few_exact, evidence_limit), "digest"
+    ).withColumn("journals_listed", F.array("first.journal_id"))
     of_suspected = suspected.join(
-        _first_rows(candidates, "suspected_key", suspected, evidence_limit), "digest"
-    ).join(_first_journals(candidates, suspected, evidence_limit), "digest")
+        _first_rows(candidates, "suspected_key", suspected, few_suspected, evidence_limit), "digest"
+    ).join(_first_journals(candidates, suspected, few_suspected, evidence_limit), "digest")
     return of_exact.unionByName(of_suspected)
 
 
