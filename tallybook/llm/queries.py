@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, substring_dedup, suffix_dedup, token_counts, token_file
+from tallybook.llm import packing, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
 from tallybook.llm.shared import table
 from tallybook.workspace import new_path
 
@@ -45,3 +45,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
