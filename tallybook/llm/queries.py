@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
-from tallybook.llm.shared import table
+from tallybook.llm import fertility, packing, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
+from tallybook.llm.shared import KEY, table
 from tallybook.workspace import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(table(spark, sf_dir, "documents")).drop(*KEY, "_llm_lang")
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))

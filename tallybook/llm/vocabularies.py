@@ -85,6 +85,13 @@ class Vocabulary:
         found = self.library.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def fallback(self) -> np.ndarray:
+        """Which ids stand for a single byte for want of a piece."""
+        if not hasattr(self, "_fallback"):
+            of = self.pieces.is_byte if self.parts is None else (lambda _: False)
+            self._fallback = np.array([bool(of(x)) for x in range(self.size)])
+        return self._fallback
+
     def learn(self, parts: set[str]) -> None:
         missing = list(parts - self.cache.keys())
         if len(missing) + len(self.cache) > CACHE_PARTS:

@@ -46,3 +46,23 @@ def suffixes(rows, size=400):
         spans = sum(1 for p in range(len(b)) if gone[p] and not (p and gone[p - 1]))
         out.append((i, len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g))))
     return out
+
+
+def quality_base(rows):
+    """rows: (doc_id, text) -> bag of (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    out = []
+    for i, t in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        seen, dup = set(), 0
+        for line in t.split("\n"):
+            if WORD.search(line):
+                dup += line in seen
+                seen.add(line)
+        places = defaultdict(list)
+        for p in range(len(w) - 2):
+            places[tuple(w[p : p + 3])].append(p)
+        again = {q for ps in places.values() if len(ps) > 1 for p in ps for q in (p, p + 1, p + 2)}
+        bad = len(w) < 50 or 100 * len(again) > 50 * len(w)
+        out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again), bad))
+    return out
