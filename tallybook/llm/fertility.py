@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import hashing as H
-from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, document_key, identified, split_by_filter, stage
+from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, identified, stage, without
 from tallybook.llm.vocabularies import grouped, vocabulary, vocabulary_path
 
 #: The first one also measures byte fallback and token entropy.
@@ -214,9 +214,5 @@ def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: st
 
 
 def kept_documents(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps. Of the others only texts that a fixed-size filter holds back move."""
-    rejected = stage(quality(docs, names, language).filter(~F.col("kept")).select(*KEY).distinct(), "rejected")
-    keyed = docs.withColumn("_llm_text", F.col(TEXT))
-    near, far = split_by_filter(identified(keyed), document_key(), rejected, document_key())
-    left = near.join(rejected, list(KEY), "left_anti").unionByName(far)
-    return left.withColumn(TEXT, F.col("_llm_text")).select(*docs.columns)
+    """The rows of ``docs`` that ``quality`` keeps."""
+    return without(docs, stage(quality(docs, names, language).filter(~F.col("kept")).select(*KEY).distinct(), "rejected"))

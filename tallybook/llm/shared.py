@@ -84,5 +84,16 @@ def document_key() -> Column:
     return F.xxhash64(RANK, DIGEST)
 
 
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among the staged keys ``rejected``.
+
+    Rows that the filter lets through stay where they are; only the others are joined.
+    """
+    keyed = docs.withColumn("_llm_text", F.col(TEXT))
+    near, far = split_by_filter(identified(keyed), document_key(), rejected, document_key())
+    left = near.join(rejected, list(KEY), "left_anti").unionByName(far)
+    return left.withColumn(TEXT, F.col("_llm_text")).select(*docs.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
