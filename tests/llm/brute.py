@@ -66,3 +66,32 @@ def quality_base(rows):
         bad = len(w) < 50 or 100 * len(again) > 50 * len(w)
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again), bad))
     return out
+
+
+def conversations(rows):
+    """rows: (conv_id, turn, role, text) -> bag of (conv_id, n_turns, turns sha, loss_chars, loss sha)."""
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append((t is None, t or 0, r or "", x or ""))
+    out = []
+    for c, turns in by.items():
+        turns.sort()
+        said = "".join(x for _, _, r, x in turns if r == "assistant")
+        out.append((c, len(turns), sha("".join(f"{r}\n{x}\n" for _, _, r, x in turns)), len(said), sha(said)))
+    return out
+
+
+def contained(docs, items, size=5, threshold=0.8):
+    """docs: (doc_id, text), items: (item_id, text) with distinct sets -> bag of (doc_id, item_id, n_shingles, n_shared)."""
+    def shingles(t):
+        w = re.findall(r"(?:[0-9A-Za-z]|[^\x00-\x7f])+", (t or "").lower())
+        return {tuple(w[p : p + size]) for p in range(max(1, len(w) - size + 1))} if w else set()
+
+    sets = [(i, shingles(t)) for i, t in items]
+    out = []
+    for d, t in docs:
+        mine = shingles(t)
+        for i, s in sets:
+            if s and len(s & mine) >= threshold * len(s) - 1e-9:
+                out.append((d, i, len(s), len(s & mine)))
+    return out
