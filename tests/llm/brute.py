@@ -95,3 +95,29 @@ def contained(docs, items, size=5, threshold=0.8):
             if s and len(s & mine) >= threshold * len(s) - 1e-9:
                 out.append((d, i, len(s), len(s & mine)))
     return out
+
+
+def near_duplicates(rows, size=4, percent=85):
+    """rows: (doc_id, text) -> bag of (doc_id, n_shingles, component_id)."""
+    sets = []
+    for _, t in rows:
+        w = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x) for x in WORD.findall(t or "")]
+        sets.append({tuple(w[p : p + size]) for p in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in range(len(rows)):
+        for y in range(x):
+            if sets[x] and 100 * min(len(sets[x]), len(sets[y])) >= percent * max(len(sets[x]), len(sets[y])):
+                shared = len(sets[x] & sets[y])
+                if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
+                    root[find(x)] = find(y)
+    least = {}
+    order = lambda i: (1 << 63) - 1 if i is None else i
+    for x, (i, _) in enumerate(rows):
+        least[find(x)] = min(least.get(find(x), 1 << 63), order(i))
+    return [(i, len(sets[x]), least[find(x)]) for x, (i, _) in enumerate(rows)]
