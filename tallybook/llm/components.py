@@ -25,10 +25,10 @@ def components(links: DataFrame) -> DataFrame:
     while (now := _figures(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large.filter("u > v"), "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         handed = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = handed.unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         edges = stage(small, "edges")

@@ -162,7 +162,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 def star_pairs(entries: DataFrame, percent: int, pick: Column) -> DataFrame:
     """Pairs of each n-gram's picked node and its nodes of other groups. ``entries`` has ``root``."""
-    heads = entries.groupBy("token").agg(F.min_by(F.struct("node", "n", "place", "root"), pick).alias("y"))
+    heads = stage(entries.groupBy("token").agg(F.min_by(F.struct("node", "n", "place", "root"), pick).alias("y")), "heads")
     rows = entries.select("token", F.struct("node", "n", "place", "root").alias("x")).join(heads, "token")
     rows = rows.filter((F.col("x.root") != F.col("y.root")) & _may_link(percent, "x", "y"))
     return _ordered(rows.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
@@ -171,7 +171,8 @@ def star_pairs(entries: DataFrame, percent: int, pick: Column) -> DataFrame:
 def remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs under one n-gram that are in different groups."""
     groups = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = stage(entries.join(groups.filter("low < high"), "token").select(*entries.columns), "mixed")
+    groups = stage(groups.filter("low < high").select("token"), "groups")
+    mixed = stage(entries.join(groups, "token").select(*entries.columns), "mixed")
     left = mixed.select("token", F.struct("node", "n", "place", "root").alias("x"))
     right = mixed.select("token", F.struct("node", "n", "place", "root").alias("y"))
     rows = left.join(
@@ -252,12 +253,13 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
         # A component found before stands in the next graph as the links of its nodes to its root.
         links = found if links is None else found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
         roots = components(links)
-        rooted = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = stage(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     if roots is None:
         roots = nodes.select("node", F.col("node").alias("root")).limit(0)
     group = F.when(F.col("n") > 0, F.coalesce("root", "node"))
     placed = nodes.join(roots, "node", "left").withColumn("group", group).drop("root", "node")
-    least = placed.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct(*KEY)).alias("head"))
+    placed = stage(placed, "placed")
+    least = stage(placed.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct(*KEY)).alias("head")), "least")
     return stage(placed.join(least, "group", "left").drop("group"), "linked")
 
 

@@ -166,15 +166,15 @@ def candidate_runs(docs: DataFrame, rule: Rule, wanted) -> DataFrame:
 
 def classified(candidates: DataFrame, rule: Rule) -> DataFrame:
     """Candidate runs with ``whole`` (all its windows repeat) and ``look`` (its windows are to be compared)."""
+    # The figures are staged before they are joined, so that each join can be split under a hot key.
     head = F.struct(*KEY, "start")
-    spans = candidates.groupBy(ANCHOR, SPAN).agg(*rule.stats(), F.min(head).alias("_llm_head"))
-    several = spans.groupBy(ANCHOR).agg((F.count(F.lit(1)) > 1).alias("_llm_several"))
+    spans = stage(candidates.groupBy(ANCHOR, SPAN).agg(*rule.stats(), F.min(head).alias("_llm_head")), "spans")
+    several = stage(spans.groupBy(ANCHOR).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(ANCHOR), "several")
+    spans = stage(spans.join(several.withColumn("_llm_several", F.lit(True)), ANCHOR, "left"), "spans")
     chosen = F.col(RANK) == F.col("_llm_low") if rule.earlier_id else head == F.col("_llm_head")
-    return (
-        candidates.join(spans, [ANCHOR, SPAN])
-        .join(several, ANCHOR)
-        .select(*KEY, "start", "length", ANCHOR, rule.repeat().alias("whole"), (F.col("_llm_several") & chosen).alias("look"))
-    )
+    look = F.coalesce("_llm_several", F.lit(False)) & chosen
+    marked = candidates.join(spans, [ANCHOR, SPAN]).withColumns({"whole": rule.repeat(), "look": look})
+    return marked.filter("whole or look").select(*KEY, "start", "length", ANCHOR, "whole", "look")
 
 
 def _windows(rule: Rule):
@@ -228,7 +228,7 @@ def repeated_starts(docs: DataFrame, rule: Rule) -> DataFrame:
     marked = stage(classified(runs_found, rule), "marked")
     looks = stage(marked.filter("look").select(*KEY, "start", "length", ANCHOR), "looks")
     windows = stage(candidate_windows(docs, looks, rule), "windows")
-    figures = windows.groupBy(ANCHOR, SPAN).agg(*rule.stats()).filter(rule.repeated())
+    figures = stage(windows.groupBy(ANCHOR, SPAN).agg(*rule.stats()).filter(rule.repeated()), "figures")
     singles = windows.join(figures, [ANCHOR, SPAN]).filter(rule.repeat())
     whole = marked.filter("whole").select(*KEY, "start", "length")
     return stage(whole.unionByName(singles.select(*KEY, "start", F.lit(1).cast("long").alias("length"))), "repeats")

@@ -38,7 +38,7 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def _slots(keys: DataFrame, key: Column) -> DataFrame:
-    slot = F.shiftrightunsigned(key, 64 - FILTER_BITS)
+    slot = key.bitwiseAND((1 << FILTER_BITS) - 1)
     return (
         keys.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", _BLOCK_BITS).alias("_llm_block"))
@@ -47,7 +47,10 @@ def _slots(keys: DataFrame, key: Column) -> DataFrame:
 
 
 def task_filter(keys: DataFrame, column: str):
-    """A broadcast bitmap of hashed keys for use inside tasks; see ``passes``."""
+    """A broadcast bitmap of hashed keys for use inside tasks; see ``passes``.
+
+    A key's low bits are its slot. High bits would not do for keys that are minima of hashes.
+    """
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     width = 1 << (_BLOCK_BITS - 3)
     for row in _slots(keys, F.col(column)).collect():  # at most 2048 rows of 4 KB
@@ -57,7 +60,7 @@ def task_filter(keys: DataFrame, column: str):
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which unsigned 64-bit keys may be in the filter."""
-    slot = keys >> np.uint64(64 - FILTER_BITS)
+    slot = keys & np.uint64((1 << FILTER_BITS) - 1)
     return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -67,7 +70,7 @@ def split_by_filter(df: DataFrame, key: Column, keys: DataFrame, keys_key: Colum
     The filter is a broadcast table of at most 2048 rows of 4 KB; the rows of ``df`` do
     not move. ``keys`` should be a staged table, as both results read it.
     """
-    slot = F.shiftrightunsigned(key, 64 - FILTER_BITS)
+    slot = key.bitwiseAND((1 << FILTER_BITS) - 1)
     place = slot.bitwiseAND((1 << _BLOCK_BITS) - 1)
     byte = F.conv(F.hex(F.substring(F.col("_llm_bits"), F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10)
     marked = (

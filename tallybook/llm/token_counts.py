@@ -83,7 +83,7 @@ def token_counts(docs: DataFrame, cache: str, name: str = VOCABULARY, limit: int
     keyed = docs.drop(*old).withColumns(
         {"_llm_content": content_digest(), "n_bytes": F.coalesce(F.octet_length(TEXT), F.lit(0)).cast("long")}
     )
-    counts = counts.select(F.col("content").alias("_llm_content"), "n_tokens")
+    counts = stage(counts.select(F.col("content").alias("_llm_content"), "n_tokens"), "counts")  # so that hot texts' joins split
     return (
         keyed.join(counts, "_llm_content", "left")
         .withColumn("over_limit", F.col("n_tokens") > limit)
