@@ -36,6 +36,10 @@ from tallybook.llm.shared import (
     without,
 )
 
+#: The suffix filter parts n-grams by hash into so many parts, 64 to a column.
+_PARTS = 512
+SKETCH = tuple(f"s{n}" for n in range(_PARTS // 64))
+
 #: Frequencies are counted in so many slots, by hash; they order n-grams and decide nothing else.
 _SLOT_BITS = 18
 
@@ -85,13 +89,22 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def _sketches(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per row, for each part, whether it holds an odd number of the row's n-grams; 64 parts to an integer."""
+    rows = len(bounds) - 1
+    place = np.repeat(np.arange(rows), np.diff(bounds)) * _PARTS + (flat & np.uint64(_PARTS - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=rows * _PARTS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, _PARTS), axis=1).view(np.int64)
+
+
 def _nodes(size: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, _, bounds, node in _sets(batch, size):
+            for i, flat, bounds, node in _sets(batch, size):
                 kept = [batch.column(c).slice(i, len(node)) for c in ("doc_id", *KEY)]
+                figures = [H.signed(node), np.diff(bounds), *np.ascontiguousarray(_sketches(flat, bounds).T)]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(H.signed(node)), pa.array(np.diff(bounds))], names=["doc_id", *KEY, "node", "n"]
+                    [*kept, *map(pa.array, figures)], names=["doc_id", *KEY, "node", "n", *SKETCH]
                 )
 
     return emit
@@ -156,6 +169,12 @@ def _may_link(percent: int, x: str, y: str) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
+def _may_differ(percent: int, x: str, y: str) -> Column:
+    """Suffix filter: parts with an odd number in one set and an even one in the other are no more than n-grams may differ."""
+    apart = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SKETCH), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -168,27 +187,25 @@ def star_pairs(entries: DataFrame, percent: int, pick: Column) -> DataFrame:
     return _ordered(rows.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
-def remaining_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs under one n-gram that are in different groups."""
+def remaining_pairs(entries: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs under one n-gram that are in different groups and pass the filters."""
     groups = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     groups = stage(groups.filter("low < high").select("token"), "groups")
-    mixed = stage(entries.join(groups, "token").select(*entries.columns), "mixed")
-    left = mixed.select("token", F.struct("node", "n", "place", "root").alias("x"))
-    right = mixed.select("token", F.struct("node", "n", "place", "root").alias("y"))
+    side = ("node", "n", "place", "root", *SKETCH)
+    mixed = stage(entries.join(groups, "token").join(sketches.drop("n"), "node").select("token", *side), "mixed")
+    left = mixed.select("token", F.struct(*side).alias("x"))
+    right = mixed.select("token", F.struct(*side).alias("y"))
     rows = left.join(
         right,
-        (left["token"] == right["token"]) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & _may_link(percent, "x", "y"),
+        (left["token"] == right["token"])
+        & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.root") != F.col("y.root"))
+        & _may_link(percent, "x", "y")
+        & _may_differ(percent, "x", "y"),
     )
     return _ordered(rows.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
-def _suffix_filter(x: np.ndarray, y: np.ndarray, most_apart: int) -> bool:
-    """Whether two sorted sets may differ in as few as ``most_apart`` members: parts cut at x's middle differ at least in size."""
-    middle = x[len(x) // 2]
-    left_x, left_y = len(x) // 2, int(np.searchsorted(y, middle))
-    return abs(left_x - left_y) + abs((len(x) - left_x) - (len(y) - left_y)) <= most_apart
-
-
 def _verified(size: int, percent: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,14 +216,21 @@ def _verified(size: int, percent: int):
             linked = np.zeros(batch.num_rows, bool)
             for n, (x, y) in enumerate(zip(*sides, strict=True)):
                 least = -(-percent * (len(x) + len(y)) // (100 + percent))  # of shared n-grams
-                if _suffix_filter(x, y, len(x) + len(y) - 2 * least):
-                    linked[n] = len(np.intersect1d(x, y, assume_unique=True)) >= least
+                linked[n] = len(np.intersect1d(x, y, assume_unique=True)) >= least
             at = pa.array(np.flatnonzero(linked))
             yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("a", "b")], names=["u", "v"])
 
     return emit
 
 
+def filtered(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that pass the suffix filter."""
+    side = F.struct("n", *SKETCH)
+    rows = pairs.join(sketches.select(F.col("node").alias("a"), side.alias("x")), "a")
+    rows = rows.join(sketches.select(F.col("node").alias("b"), side.alias("y")), "b")
+    return rows.filter(_may_differ(percent, "x", "y")).select("a", "b")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Staged links (u, v): pairs whose Jaccard similarity reaches the threshold."""
     rows = (
@@ -239,14 +263,21 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     N-grams and sets are told apart by 64-bit hashes.
     """
-    schema = f"doc_id long, {RANK} long, {DIGEST} long, node long, n long"
-    nodes = stage(docs.select("doc_id", *KEY, TEXT).mapInArrow(_nodes(size), schema), "nodes")
+    schema = f"doc_id long, {RANK} long, {DIGEST} long, node long, n long, " + ", ".join(f"{s} long" for s in SKETCH)
+    figures = stage(docs.select("doc_id", *KEY, TEXT).mapInArrow(_nodes(size), schema), "nodes")
+    nodes = figures.drop(*SKETCH)
     filled = nodes.filter("n > 0")
     entries = prefix_entries(docs, size, percent)
     texts = _node_texts(docs, filled, entries)
+    live = entries.select("node").distinct()
+    sketches = stage(figures.select("node", "n", *SKETCH).join(live, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     rooted, links, roots = entries.withColumn("root", F.col("node")), None, None
     for pick in (F.col("node"), F.xxhash64("node"), None):
-        pairs = stage(star_pairs(rooted, percent, pick) if pick is not None else remaining_pairs(rooted, percent), "pairs")
+        if pick is None:
+            pairs = remaining_pairs(rooted, sketches, percent)
+        else:
+            pairs = filtered(star_pairs(rooted, percent, pick), sketches, percent)
+        pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
             continue
         found = verified(pairs, texts, size, percent)
