@@ -37,7 +37,7 @@ from tallybook.llm.shared import (
 )
 
 #: The suffix filter parts n-grams by hash into so many parts, 64 to a column.
-_PARTS = 512
+_PARTS = 2048
 SKETCH = tuple(f"s{n}" for n in range(_PARTS // 64))
 
 #: Frequencies are counted in so many slots, by hash; they order n-grams and decide nothing else.
@@ -272,7 +272,8 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     live = entries.select("node").distinct()
     sketches = stage(figures.select("node", "n", *SKETCH).join(live, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     rooted, links, roots = entries.withColumn("root", F.col("node")), None, None
-    for pick in (F.col("node"), F.xxhash64("node"), None):
+    # First a node with the fewest rare n-grams before the shared one, so one in the middle of its copies; then any.
+    for pick in (F.struct("place", "node"), F.struct(F.xxhash64("node"), "node"), None):
         if pick is None:
             pairs = remaining_pairs(rooted, sketches, percent)
         else:
