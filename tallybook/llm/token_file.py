@@ -23,7 +23,7 @@ from tallybook.workspace import new_path
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: A segment is closed once it has this many ids; it holds whole documents.
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 
 _SEGMENTS = (
     "start long, n_tokens long, doc_ids array<bigint>, doc_tokens array<bigint>, checkpoints array<bigint>, bits binary"
