@@ -63,7 +63,8 @@ class Model:
 
     def at_least(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) per score and k = 1 .. K."""
-        return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -40, 40)))
+        tails = 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds, -40, 40)))
+        return np.where(np.isinf(self.thresholds), 0.0, tails)
 
 
 def known(hashes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
