@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm import hashing as H
 from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, identified, stage, without
-from tallybook.llm.vocabularies import grouped, vocabulary, vocabulary_path
+from tallybook.llm.vocabularies import grouped, in_use, vocabulary_path
 
 #: The first one also measures byte fallback and token entropy.
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
@@ -106,8 +106,7 @@ def fertility(texts: list[str], names: tuple[str, ...]) -> dict[str, np.ndarray]
         rows = slice(at, at + len(group))
         words = [_WORD.findall(x) for x in group]
         distinct = set(chain.from_iterable(words))
-        for n, name in enumerate(names):
-            known = vocabulary(name)
+        for n, known in enumerate(in_use(*names)):
             known.learn(distinct)
             take = known.cache.__getitem__
             ids = [b"".join(map(take, x)) for x in words]

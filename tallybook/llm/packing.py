@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallybook.llm.shared import TEXT, stage
-from tallybook.llm.vocabularies import vocabulary, vocabulary_path
+from tallybook.llm.vocabularies import in_use, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
@@ -92,7 +92,7 @@ def _pieces(name: str, end: bytes, capacity: int):
     width = 4 * capacity
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, known = TaskContext.get().partitionId(), vocabulary(name)
+        part, known = TaskContext.get().partitionId(), in_use(name)[0]
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):

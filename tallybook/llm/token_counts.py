@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm.shared import TEXT, split_by_filter, stage
-from tallybook.llm.vocabularies import vocabulary, vocabulary_digest, vocabulary_path
+from tallybook.llm.vocabularies import in_use, vocabulary_digest, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -25,7 +25,7 @@ def content_digest() -> Column:
 
 def _counts(name: str):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(name)
+        known = in_use(name)[0]
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from tallybook.llm import huffman
 from tallybook.llm.shared import DIGEST, RANK, TEXT, identified, stage
-from tallybook.llm.vocabularies import vocabulary, vocabulary_path
+from tallybook.llm.vocabularies import in_use, vocabulary_path
 from tallybook.workspace import new_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,7 +32,7 @@ _SEGMENTS = (
 
 def _encoded(name: str, end: bytes):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, place, before, known = TaskContext.get().partitionId(), 0, 0, vocabulary(name)
+        part, place, before, known = TaskContext.get().partitionId(), 0, 0, in_use(name)[0]
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)

@@ -14,9 +14,9 @@ from itertools import chain
 
 import numpy as np
 
-#: Parts the cache of one Python worker holds (about 220 bytes each), and how many of them, the
-#: first ones met and so mostly the frequent ones, stay when it is full.
-CACHE_PARTS, CACHE_KEPT = 600_000, 300_000
+#: Parts that one Python worker holds, of all vocabularies in use (about 220 bytes each). When they
+#: are too many, half stay: the first ones met, so mostly the frequent ones.
+CACHE_PARTS = 400_000
 #: Texts looked at together are at most this long in sum, or one text.
 GROUP_CHARS = 1 << 20
 
@@ -54,6 +54,7 @@ class Vocabulary:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.cache: dict[str, bytes] = {}
+        self.room = CACHE_PARTS
         self.parts = None
         if path.endswith(".model"):
             import sentencepiece
@@ -94,8 +95,8 @@ class Vocabulary:
 
     def learn(self, parts: set[str]) -> None:
         missing = list(parts - self.cache.keys())
-        if len(missing) + len(self.cache) > CACHE_PARTS:
-            for part in list(self.cache)[CACHE_KEPT:]:
+        if len(missing) + len(self.cache) > self.room:
+            for part in list(self.cache)[self.room // 2 :]:
                 del self.cache[part]
             missing = list(parts - self.cache.keys())
         for low in range(0, len(missing), 1024):
@@ -132,3 +133,13 @@ def vocabulary(name: str) -> Vocabulary:
     if name not in _open:
         _open[name] = Vocabulary(vocabulary_path(name))
     return _open[name]
+
+
+def in_use(*names: str) -> list[Vocabulary]:
+    """The encoders of a task. Those of earlier tasks that it does not use give their memory back."""
+    for other in _open.keys() - set(names):
+        del _open[other]
+    found = [vocabulary(name) for name in names]
+    for one in found:
+        one.room = CACHE_PARTS // len(names)
+    return found
