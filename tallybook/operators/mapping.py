@@ -356,7 +356,7 @@ def resolve_columns(
 def missing_fields(resolution: DataFrame, fields: DataFrame) -> DataFrame:
     """Canonical fields no column of a file settled on. Any row stops that file's run."""
     files = resolution.select(*FILE).distinct()
-    wanted = files.join(F.broadcast(fields), "dataset")
+    wanted = files.join(fields, "dataset")
     settled = resolution.where("state = 'resolved'").select(
         *FILE, F.col("canonical_field").alias("field")
     )

@@ -21,6 +21,8 @@ def base_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="tallybook-")
@@ -48,7 +50,8 @@ def stage_with_index(df: DataFrame, order: list[Column], name: str, index: str =
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.orderBy(*order).write.parquet(path)
+    # One file per part, whatever the session's limit: a row's place counts from its part's start.
+    df.orderBy(*order).write.option("maxRecordsPerFile", 0).parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     # Files are called part-<number>-<rest>; the number is five digits or more.
     part = F.substring(F.substring_index("_metadata.file_name", "-", 2), 6, 10).cast("int")

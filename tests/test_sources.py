@@ -128,3 +128,26 @@ def test_registry_versions_stand_beside_each_other(spark, tmp_path):
     again = spark.read.schema(empty.schema).parquet(first)
     second = sinks.write_registry_version(again, str(tmp_path), 2)
     assert first != second and spark.read.parquet(second).count() == 0
+
+
+def test_row_index_holds_under_a_file_limit(spark):
+    from pyspark.sql import functions as F
+
+    from tallybook.workspace import stage_with_index
+
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        rows = stage_with_index(spark.range(100), [F.col("id")], "numbered").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted((r.id, r.row_index) for r in rows) == [(n, n) for n in range(100)]
+
+
+def test_staging_wants_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tallybook.workspace import base_dir
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        base_dir(bare)
