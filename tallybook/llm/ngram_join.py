@@ -231,8 +231,16 @@ def filtered(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return rows.filter(_may_differ(percent, "x", "y")).select("a", "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Staged links (u, v): pairs whose Jaccard similarity reaches the threshold."""
+def verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, size: int, percent: int) -> DataFrame:
+    """Staged links (u, v): pairs whose Jaccard similarity reaches the threshold.
+
+    Only texts of nodes in ``pairs`` move: a filter of their documents' keys thins out ``docs`` where it lies.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(nodes.join(heads, "node"), "wanted")
+    near, _ = split_by_filter(docs.select(*KEY, TEXT), document_key(), wanted, document_key())
+    # A document that comes twice is read once.
+    texts = stage(near.join(wanted, list(KEY)).dropDuplicates(["node"]).select("node", TEXT), "texts")
     rows = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col(TEXT).alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col(TEXT).alias("text_b")), "b")
@@ -241,14 +249,10 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return stage(rows.mapInArrow(_verified(size, percent), "u long, v long"), "links")
 
 
-def _node_texts(docs: DataFrame, nodes: DataFrame, entries: DataFrame) -> DataFrame:
-    """Staged (node, text): one text of every node with entries."""
-    live = entries.select("node").distinct()
-    # One document stands for its node; the others' texts do not move.
+def _node_heads(nodes: DataFrame, live: DataFrame) -> DataFrame:
+    """Staged (node, key): one document of every node with entries, which stands for it."""
     heads = nodes.join(live, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*KEY)).alias("head"))
-    heads = stage(heads.select("node", F.col(f"head.{RANK}").alias(RANK), F.col(f"head.{DIGEST}").alias(DIGEST)), "heads")
-    near, _ = split_by_filter(docs.select(*KEY, TEXT), document_key(), heads, document_key())
-    return stage(near.dropDuplicates(list(KEY)).join(heads, list(KEY)).select("node", TEXT), "texts")
+    return stage(heads.select("node", *(F.col(f"head.{c}").alias(c) for c in KEY)), "heads")
 
 
 def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -268,8 +272,8 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     nodes = figures.drop(*SKETCH)
     filled = nodes.filter("n > 0")
     entries = prefix_entries(docs, size, percent)
-    texts = _node_texts(docs, filled, entries)
-    live = entries.select("node").distinct()
+    live = stage(entries.select("node").distinct(), "live")
+    heads = _node_heads(filled, live)
     sketches = stage(figures.select("node", "n", *SKETCH).join(live, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     rooted, links, roots = entries.withColumn("root", F.col("node")), None, None
     # First a node with the fewest rare n-grams before the shared one, so one in the middle of its copies; then any.
@@ -281,7 +285,7 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
         pairs = stage(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        found = verified(pairs, texts, size, percent)
+        found = verified(pairs, docs, heads, size, percent)
         # A component found before stands in the next graph as the links of its nodes to its root.
         links = found if links is None else found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
         roots = components(links)
