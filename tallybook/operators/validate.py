@@ -201,18 +201,18 @@ def rule_counts(quarantined: DataFrame) -> DataFrame:
     )
 
 
-def control_total(received: DataFrame, checked: DataFrame) -> DataFrame:
-    """Rows received, accepted and quarantined per source file.
+def control_total(received: DataFrame, checked: DataFrame, by: Sequence[str] = ("source_file",)) -> DataFrame:
+    """Rows received, accepted and quarantined per source file, told apart by the columns ``by``.
 
     ``received`` is the scan itself, so that a row lost on the way shows.
     """
-    arrived = received.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_received"))
-    became = checked.groupBy("source_file").agg(
+    arrived = received.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_received"))
+    became = checked.groupBy(*by).agg(
         F.count_if("holds").alias("rows_accepted"), F.count_if(~F.col("holds")).alias("rows_quarantined")
     )
     counts = ("rows_received", "rows_accepted", "rows_quarantined")
-    joined = arrived.join(became, "source_file", "full_outer").select(
-        "source_file", *(F.coalesce(c, F.lit(0)).alias(c) for c in counts)
+    joined = arrived.join(became, list(by), "full_outer").select(
+        *by, *(F.coalesce(c, F.lit(0)).alias(c) for c in counts)
     )
     return joined.withColumn(
         "holds", F.col("rows_received") == F.col("rows_accepted") + F.col("rows_quarantined")

@@ -10,6 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,9 @@ from tallybook.schemas import DATASET_RULES, HEADERS_SCHEMA
 from tallybook.sources import sinks
 from tallybook.sources.delimited import (
     all_text_scan,
+    canonical_path,
     format_audit,
-    header_of,
+    header_layouts,
     require_formats,
     with_row_position,
 )
@@ -67,22 +69,46 @@ def _one_format(audit: DataFrame, path: str) -> tuple[str, str]:
     return formats[0].encoding, formats[0].delimiter
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _file_totals(manifest: DataFrame, scans: list[DataFrame], checked: DataFrame) -> DataFrame:
+    """The control total of every file; one without rows counts none."""
+    received = _together([scan.select(canonical_path("source_path").alias("source_path")) for scan in scans])
+    total = V.control_total(received, checked, ("source_path",))
+    files = manifest.select(F.col("path").alias("source_path"), F.col("filename").alias("source_file"), "byte_size")
+    counts = ("rows_received", "rows_accepted", "rows_quarantined")
+    return files.join(total, "source_path", "full_outer").select(
+        "source_file",
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in counts),
+        F.coalesce("holds", F.lit(True)).alias("holds"),
+        "source_path",
+        "byte_size",
+    )
+
+
 def _validated(
     spark: SparkSession,
     dataset: str,
-    scan: DataFrame,
+    scans: list[DataFrame],
     manifest: DataFrame,
     resolution: DataFrame,
     engagement: Engagement,
 ) -> DataFrame:
-    """Every row of one dataset's files with its parsed fields and failures. Written."""
+    """Every row of one dataset's files with its parsed fields and failures. Written.
+
+    Files with one order of columns are one scan.
+    """
     settled = resolution.where((F.col("dataset") == dataset) & (F.col("state") == "resolved"))
     # As many rows as the canonical schema has fields.
     mapping = {r.source_column: r.canonical_field for r in settled.collect()}
-    digests = manifest.select(F.col("filename").alias("source_file"), F.col("sha256").alias("source_sha256"))
-    numbered = with_row_position(scan).join(digests, "source_file", "left")
-    projected = canonical_projection(numbered, mapping, keep=V.SOURCE_COLUMNS)
-    checked = V.check_rows(projected, DATASET_RULES[dataset], engagement.date_formats)
+    digests = manifest.select(F.col("path").alias("source_path"), F.col("sha256").alias("source_sha256"))
+    numbered = _together([with_row_position(scan) for scan in scans])
+    numbered = numbered.withColumn("source_path", canonical_path("source_path")).join(digests, "source_path", "left")
+    kept = ("source_path", *V.SOURCE_COLUMNS)
+    projected = canonical_projection(numbered, mapping, keep=kept)
+    checked = V.check_rows(projected, DATASET_RULES[dataset], engagement.date_formats, kept)
     return stage(checked, f"{dataset}-checked")
 
 
@@ -98,7 +124,7 @@ def reconcile(
 ) -> Outcome:
     """Run everything for one provider. ``paths`` names the gl and tb file or folder.
 
-    The files of one folder share format and header. Results are written under
+    The files of one folder share format and columns, in any order. Results are written under
     ``out_dir``; intermediate tables go to the workspace.
     """
     started = dt.datetime.now(dt.timezone.utc)
@@ -118,9 +144,9 @@ def reconcile(
             format_audit(spark, path, engagement.encodings, engagement.delimiters), f"{dataset}-audit"
         )
         encoding, delimiter = _one_format(audit, path)
-        header = header_of(spark, path, encoding, delimiter)
-        header_rows += [(engagement.provider, dataset, h, i) for i, h in enumerate(header)]
-        scans[dataset] = all_text_scan(spark, path, header, encoding, delimiter)
+        layouts = header_layouts(spark, path, encoding, delimiter)
+        header_rows += [(engagement.provider, dataset, h, i) for i, h in enumerate(layouts[0][0])]
+        scans[dataset] = [all_text_scan(spark, files, header, encoding, delimiter) for header, files in layouts]
         manifests[dataset] = stage(
             source_manifest(spark, path, engagement, audit).withColumn("dataset", F.lit(dataset)),
             f"{dataset}-manifest",
@@ -138,17 +164,16 @@ def reconcile(
         return outcome
 
     checked, totals, sources, population = {}, [], [], {}
-    for dataset, scan in scans.items():
+    for dataset, parts in scans.items():
         rules = DATASET_RULES[dataset]
         checked[dataset] = _validated(
-            spark, dataset, scan, manifests[dataset], resolution, engagement
+            spark, dataset, parts, manifests[dataset], resolution, engagement
         )
-        total = stage(V.control_total(scan, checked[dataset]), f"{dataset}-total")
+        total = stage(_file_totals(manifests[dataset], parts, checked[dataset]), f"{dataset}-total")
         V.assert_control_total(total)
-        totals.append(total)
-        files = manifests[dataset].join(total.withColumnRenamed("source_file", "filename"), "filename")
+        totals.append(total.drop("source_path", "byte_size"))
         sources.append(
-            files.groupBy("dataset").agg(
+            total.groupBy(F.lit(dataset).alias("dataset")).agg(
                 F.count(F.lit(1)).alias("files"),
                 F.sum("byte_size").alias("bytes"),
                 *(F.sum(c).alias(c) for c in ("rows_received", "rows_accepted", "rows_quarantined")),
@@ -156,7 +181,7 @@ def reconcile(
         )
         accepted = V.accepted_rows(checked[dataset], rules)
         population[dataset] = stage_with_index(
-            accepted, [F.col("source_file"), F.col("row_number")], f"{dataset}-accepted"
+            accepted, [F.col("source_file"), F.col("source_sha256"), F.col("row_number")], f"{dataset}-accepted"
         ).select(*rules, "row_index")
 
     detail, summary = population["gl"], population["tb"]

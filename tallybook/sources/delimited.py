@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tallybook.errors import FormatDetectionError
+from tallybook.workspace import stage
 
 # Encodings that can be told from the bytes, and Spark's names for them.
 ENCODINGS = {"utf-8": "UTF-8", "utf8": "UTF-8", "latin-1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "ascii": "US-ASCII"}
 
 CORRUPT = "_corrupt"
 
+#: More headers than this under one folder are an error: each one is a scan of its own.
+MAX_LAYOUTS = 100
+
 
 def header_of(spark: SparkSession, path: str, encoding: str, delimiter: str) -> list[str]:
     """The column names on the first line of the file (or of a file of the folder)."""
@@ -30,6 +34,54 @@ def header_of(spark: SparkSession, path: str, encoding: str, delimiter: str) ->
     return next(csv.reader([first.value.lstrip("﻿")], delimiter=delimiter))
 
 
+def header_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Per file its first line that is not blank: source_path and line. A file without one is missing.
+
+    The lines' places are found first, as numbers that combine on the map side, so that
+    no line but the headers leaves its task. Both scans split the files alike.
+    """
+    lines = (
+        spark.read.option("encoding", ENCODINGS[encoding.lower()])
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("source_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+            F.col("value").alias("line"),
+        )
+        .where((F.col("_block") == 0) & (F.trim("line") != ""))
+    )
+    places = stage(lines.groupBy("source_path").agg(F.min("_at").alias("_at")), "header-places")
+    return lines.join(places, ["source_path", "_at"]).select("source_path", "line")
+
+
+def header_layouts(spark: SparkSession, path: str, encoding: str, delimiter: str) -> list[tuple[list[str], list[str]]]:
+    """Each order of columns that files under ``path`` have, with the paths of its files.
+
+    The files must have the same columns, in any order. Spark's readers pass over files
+    of no bytes; a folder of nothing else is refused. What comes to the driver is a file's path, as in any listing, and each distinct header once.
+    """
+    found = stage(header_lines(spark, path, encoding), "headers")
+    lines = [r.line for r in found.select("line").distinct().orderBy("line").limit(MAX_LAYOUTS + 1).collect()]
+    if not lines:
+        raise FormatDetectionError(f"{path} is empty")
+    if len(lines) > MAX_LAYOUTS:
+        raise FormatDetectionError(f"the files under {path} have more than {MAX_LAYOUTS} different headers")
+    layouts = []
+    for line in lines:
+        header = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter))
+        if layouts and sorted(header) != sorted(layouts[0][0]):
+            raise FormatDetectionError(f"the files under {path} do not have the same columns: {layouts[0][0]}, {header}")
+        paths = [path] if len(lines) == 1 else [r.source_path for r in found.where(F.col("line") == line).collect()]
+        layouts.append((header, paths))
+    return layouts
+
+
+def canonical_path(column: str) -> Column:
+    """A file's path as the manifest spells it, whichever reader gave it."""
+    return F.regexp_replace(F.col(column), "^file:/+", "file:///")
+
+
 def _outside_quotes(delimiter: str) -> str:
     d = re.escape(delimiter)
     return rf'{d}(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -48,13 +100,13 @@ def _cells_of(line: Column, delimiter: str) -> Column:
 
 def all_text_scan(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     header: Sequence[str],
     encoding: str,
     delimiter: str,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Rows of the file or folder: ``header`` columns, ``__extra__`` and where each row lay.
+    """Rows of the file, folder or listed files: ``header`` columns, ``__extra__`` and where each row lay.
 
     ``multi_line`` reads quoted line breaks, at the price of one task per file.
     """

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from ledgers import GOLDEN, PROPOSALS, SYNONYMS, gl_csv, tb_csv
+from ledgers import PROPOSALS, SYNONYMS, balances, delivered_lines, expected_findings, gl_csv, tb_csv
 
 from tallybook import reconcile
 from tallybook.errors import ApprovalError
@@ -13,6 +13,9 @@ from tallybook.sources import reference_tables as RT
 from tallybook.sources import sinks
 from tallybook.workspace import stage
 
+LINES = delivered_lines()
+GOLDEN = expected_findings(LINES, balances(), 1000, "2025-07-01", "2026-06-30")
+
 
 @pytest.fixture(scope="module")
 def inputs(spark, tmp_path_factory):
@@ -58,24 +61,25 @@ def test_cold_approve_warm(spark, engagement, inputs, tmp_path):
     warm = run(spark, engagement, inputs, stage(updated, "registry"), tmp_path / "warm")
     assert warm.status == "COMPLETED"
     assert figures(warm.tables["resolution"]) == {"gl": (12, 0, 0, 0), "tb": (7, 0, 0, 0)}
-    assert register(warm) == GOLDEN
+    assert register(warm) == GOLDEN and len(GOLDEN) == 9
 
     duplicate = [r.evidence for r in warm.tables["findings"].collect() if r.control_id == "DEDUPE"]
+    journal, on, n, account, amount = LINES[-1]
     assert duplicate[0].startswith(
-        "2 lines identical across all eight key fields: population rows [42, 50], journal J-1015 "
-        "line 1, account 6000, dated 2026-05-15, debit 1200.00 credit 0.00; hash "
+        f"2 lines identical across all eight key fields: population rows [{LINES.index(LINES[-1])}, {len(LINES) - 1}], "
+        f"journal {journal} line {n}, account {account}, dated {on}, debit {amount}.00 credit 0.00; hash "
     )
     counters = warm.tables["counters"].first().asDict()
     assert counters == {
         "source_files": 2, "columns_mapped": 19, "columns_in_review": 0, "model_calls": 0,
-        "rows_received": 59, "rows_accepted": 59, "rows_quarantined": 0, "gl_lines": 51,
+        "rows_received": len(LINES) + 8, "rows_accepted": len(LINES) + 8, "rows_quarantined": 0, "gl_lines": len(LINES),
         "tb_rows": 8, "controls_registered": 7, "controls_run": 6, "controls_skipped": 1,
         "duplicate_decisions": 1, "exceptions": 9, "exceptions_above_materiality": 7,
         "exceptions_below_materiality": 2,
     }
     summary = {r.control_id: r for r in warm.tables["control_summary"].collect()}
     assert summary["C5"].status == "SKIPPED" and summary["C5"].reason == "no prior period loaded"
-    assert summary["C2"].rows_tested == 59
+    assert summary["C2"].rows_tested == len(LINES) + 8
     log = json.loads(next((tmp_path / "warm/run_log").glob("*.json")).read_text())
     assert log["control_total_holds"] and log["counters"]["exceptions"] == 9
     csv = sorted((tmp_path / "warm/register/csv").glob("part-*"))
@@ -86,7 +90,7 @@ def test_cold_approve_warm(spark, engagement, inputs, tmp_path):
 def test_one_approval_makes_the_provider_known(spark, engagement, inputs, tmp_path):
     cold = run(spark, engagement, inputs, RT.empty_registry(spark), tmp_path / "cold")
     queue = cold.tables["resolution"]
-    updated, written = approve(queue, RT.empty_registry(spark), "2026-07-28T00:00:00Z", ["Co Code"])
+    updated, written = approve(queue, RT.empty_registry(spark), "2026-07-28T00:00:00Z", ["Firm"])
     assert {r.dataset: r.columns for r in written.collect()} == {"gl": 8, "tb": 7}
     warm = run(spark, engagement, inputs, stage(updated, "registry"), tmp_path / "warm")
     assert figures(warm.tables["resolution"]) == {"gl": (8, 0, 4, 0), "tb": (7, 0, 0, 0)}
@@ -94,3 +98,24 @@ def test_one_approval_makes_the_provider_known(spark, engagement, inputs, tmp_pa
     assert register(warm) == GOLDEN
     with pytest.raises(ApprovalError):
         approve(queue, RT.empty_registry(spark), "now", ["No Such Column"])
+
+
+def test_files_of_one_folder_in_their_own_column_order(spark, engagement, inputs, tmp_path):
+    header, *rows = gl_csv().splitlines()
+    names = header.split(",")
+    turned = [names.index(n) for n in ("Cr Value", "Dr Value", *(n for n in names if n not in ("Cr Value", "Dr Value")))]
+    folder = tmp_path / "gl"
+    for part in ("p=1", "p=2"):
+        (folder / part).mkdir(parents=True)
+    other = [",".join(line.split(",")[i] for i in turned) for line in (header, *rows[40:])]
+    (folder / "p=1/a.csv").write_text("\n".join([header, *rows[:40]]) + "\n")
+    (folder / "p=2/a.csv").write_text("\n".join(other) + "\n")
+    (folder / "p=2/none.csv").write_text(header + "\n")
+    paths = {"gl": str(folder), "tb": inputs["paths"]["tb"]}
+    cold = run(spark, engagement, inputs | {"paths": paths}, RT.empty_registry(spark), tmp_path / "cold")
+    updated, _ = approve(cold.tables["resolution"], RT.empty_registry(spark), "now")
+    warm = run(spark, engagement, inputs | {"paths": paths}, stage(updated, "registry"), tmp_path / "warm")
+    assert sorted(map(str, register(warm))) == sorted(map(str, GOLDEN))
+    assert warm.tables["counters"].first().source_files == 4
+    totals = sorted((r.source_file, r.rows_received, r.holds) for r in warm.tables["control_total"].collect())
+    assert totals[:3] == [("a.csv", len(rows) - 40, True), ("a.csv", 40, True), ("none.csv", 0, True)]

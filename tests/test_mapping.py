@@ -41,7 +41,7 @@ def test_similarity_against_the_table(spark):
     rng = random.Random(7)
     word = lambda n: "".join(rng.choice("abcdé") for _ in range(n))
     pairs = [(word(rng.randint(0, 20)), word(rng.randint(0, 20))) for _ in range(120)]
-    pairs += [(word(70), word(n)) for n in (61, 62, 63, 75)] + [("cocode", "accountcode"), ("", ""), ("a", "")]
+    pairs += [(word(70), word(n)) for n in (61, 62, 63, 75)] + [("firm", "accountcode"), ("", ""), ("a", "")]
     df = spark.createDataFrame(pairs, "a string, b string")
     masks = F.when(F.length("b").between(1, 62), letter_masks(F.col("b")))
     got = df.select("a", "b", similarity(F.col("a"), F.col("b"), masks).alias("r")).collect()
@@ -69,8 +69,10 @@ def test_without_a_proposer_everything_is_accounted_for(spark):
     assert not [r for r in got.values() if r.source_tier == 3]
     unresolved = got[0]
     assert unresolved.state == "review" and unresolved.source_tier is None and unresolved.confidence == 0.0
+    terms = [(f, t.replace(" ", "")) for f, of in SYNONYMS["gl"].items() for t in of]
+    field, term = max(terms, key=lambda x: indel("firm", x[1]))
     assert unresolved.rationale == (
-        "unresolved: nearest synonym 'acctcode' for account_code scored 0.71, below the 0.85 gate; "
+        f"unresolved: nearest synonym '{term}' for {field} scored {indel('firm', term):.2f}, below the 0.85 gate; "
         "no model attached"
     )
 
@@ -83,12 +85,12 @@ def test_second_provider_figures(spark):
 
 
 def test_registry_is_letter_exact(spark):
-    known = registry(spark, ("Co Code", "entity", 3, 0.88, "human", "2026-07-28", "as told"))
-    got = resolve(spark, ["Co Code", "co code"], known)
+    known = registry(spark, ("Firm", "entity", 3, 0.88, "human", "2026-07-28", "as told"))
+    got = resolve(spark, ["Firm", "firm"], known)
     assert got[0].source_tier == 1 and got[0].confidence == 1.0
     assert got[0].rationale == "registry entry for P gl, approved by human on 2026-07-28 at tier 3: as told"
     assert got[1].source_tier == 3 and got[1].state == "review"
-    assert "'Co Code' already resolves to entity" in got[1].rationale
+    assert "'Firm' already resolves to entity" in got[1].rationale
 
 
 def test_gate_boundary_and_first_mapping(spark):
@@ -111,10 +113,10 @@ def test_fuzzy_settles_at_the_gate_and_first_term_wins(spark):
 
 
 def test_first_column_holds_a_contested_field(spark):
-    got = resolve(spark, ["Narrative", "Memo", "Text"], proposals=None)
+    got = resolve(spark, ["Remark", "Wording", "Note"], proposals=None)
     assert [got[i].state for i in range(3)] == ["resolved", "review", "review"]
     assert got[2].rationale == (
-        "exact synonym match; 'Narrative' already resolves to description, so both need adjudication"
+        "exact synonym match; 'Remark' already resolves to description, so both need adjudication"
     )
 
 
@@ -171,27 +173,27 @@ def test_normalise(spark):
 
 
 def test_approval(spark):
-    names = ["Co Code", "Per", "Narrative", "Mystery"]
-    known = registry(spark, ("Narrative", "description", 2, 1.0, "human", "2020", "kept as found"))
+    names = ["Firm", "Fin Year", "Remark", "Mystery"]
+    known = registry(spark, ("Remark", "description", 2, 1.0, "human", "2020", "kept as found"))
     other = spark.createDataFrame([("Q", "gl", "x", "entity", 2, 1.0, "human", "2020", "r")], REGISTRY_SCHEMA)
     reg = known.unionByName(other)
-    weak = [("gl", "cocode", "entity", 0.6, "r"), ("gl", "per", "period", 0.95, "r")]
+    weak = [("gl", "firm", "entity", 0.6, "r"), ("gl", "finyear", "period", 0.95, "r")]
     queue = M.resolve_columns(
         headers(spark, names), reg, RT.synonyms_table(spark, SYNONYMS), RT.proposals_table(spark, weak), 0.85
     )
-    updated, written = A.approve(queue, reg, "now", ["Co Code"])
+    updated, written = A.approve(queue, reg, "now", ["Firm"])
     got = {(r.provider, r.source_column): (r.approved_by, r.approved_at, r.rationale) for r in updated.collect()}
     assert got == {
-        ("P", "Co Code"): ("human", "now", "r"),
-        ("P", "Per"): ("model", "now", "r"),
-        ("P", "Narrative"): ("human", "2020", "kept as found"),
+        ("P", "Firm"): ("human", "now", "r"),
+        ("P", "Fin Year"): ("model", "now", "r"),
+        ("P", "Remark"): ("human", "2020", "kept as found"),
         ("Q", "x"): ("human", "2020", "r"),
     }
     assert written.first().asDict() == dict(
         provider="P", dataset="gl", columns=3, tier1=1, tier2=0, tier3=2, deterministic=0, human=2, model=1
     )
     with pytest.raises(ApprovalError, match="not awaiting"):
-        A.approve(queue, reg, "now", ["Narrative"])
+        A.approve(queue, reg, "now", ["Remark"])
     with pytest.raises(ApprovalError, match="nothing proposed"):
         A.approve(queue, reg, "now", ["Mystery"])
     with pytest.raises(ApprovalError, match="nothing was approved"):

@@ -92,6 +92,23 @@ def test_format_audit(spark, tmp_path):
             S.format_audit(spark, str(folder), encodings, delimiters)
 
 
+def test_header_layouts(spark, tmp_path):
+    folder = tmp_path / "layouts"
+    folder.mkdir()
+    with pytest.raises(FormatDetectionError):
+        S.header_layouts(spark, str(folder), "utf-8", ",")
+    (folder / "a.csv").write_text("\n\ufeffA,B\n1,2\n", encoding="utf-8")
+    (folder / "b.csv").write_text("B,A\n4,3\n6,5\n")
+    (folder / "c.csv").write_text("B,A\n")
+    layouts = S.header_layouts(spark, str(folder), "utf-8", ",")
+    assert sorted((h, len(files)) for h, files in layouts) == [(["A", "B"], 1), (["B", "A"], 2)]
+    rows = [r for h, files in layouts for r in S.all_text_scan(spark, files, h, "utf-8", ",").collect()]
+    assert sorted((r.A, r.B) for r in rows) == [("1", "2"), ("3", "4"), ("5", "6")]
+    (folder / "d.csv").write_text("A,C\n")
+    with pytest.raises(FormatDetectionError, match="same columns"):
+        S.header_layouts(spark, str(folder), "utf-8", ",")
+
+
 def test_manifest_whole_and_streamed(spark, engagement, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
