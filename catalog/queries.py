@@ -215,9 +215,7 @@ def dedupe_suspected(spark, sf_dir):
 def duplicate_decisions(spark, sf_dir):
     decisions = D.duplicate_decisions(_described(spark, sf_dir), F.current_timestamp())
     return decisions.select(
-        "decision_id", "kind", "group_rows",
-        F.array_join(F.col("row_indices").cast("array<string>"), ",").alias("row_indices"),
-        "all_rows_listed", "decided_by", "disposition", "reversible",
+        "decision_id", "kind", "group_rows", "journals", "first_row", "last_row", "decided_by", "disposition", "reversible",
     )
 
 
@@ -227,6 +225,11 @@ def duplicate_members(spark, sf_dir):
     return members.select("decision_id", "kind", "row_index", "journal_id", "occurrence", "group_rows")
 
 
+@query
+def duplicate_journals(spark, sf_dir):
+    return D.duplicate_journals(_candidates(spark, sf_dir))
+
+
 @query
 def population_unchanged(spark, sf_dir):
     """Flagging and unflagging the ledger leaves its rows as they were."""

@@ -163,15 +163,13 @@ BROKEN = """(SELECT account_code, opening_balance, period_debits, period_credits
 C6 = finding(
     "C6",
     f"""(SELECT SUM(closing_balance) AS total, COUNT(*) AS n FROM tb),
-  (SELECT string_agg('account ' || account_code || ' closing ' || {money('closing_balance')}
-     || ' does not follow from opening ' || {money('opening_balance')} || ' plus debits '
-     || {money('period_debits')} || ' less credits ' || {money('period_credits')} || ' ('
-     || {money('derived')} || '), a difference of ' || {money('abs(derived - closing_balance)')},
-     '; ' ORDER BY account_code) AS named FROM {BROKEN})
-WHERE total <> 0 OR named IS NOT NULL""",
+  (SELECT COUNT(*) AS broken, MAX(abs(derived - closing_balance)) AS largest FROM {BROKEN})
+WHERE total <> 0 OR broken > 0""",
     "abs(total)",
     f"""'Trial Balance closing balances sum to ' || {money('total')} || ' rather than 0.00 across '
-  || n || ' accounts; ' || COALESCE(named, 'every account''s opening plus movement equals its closing')""",
+  || n || ' accounts; ' || CASE WHEN broken = 0 THEN 'every account''s opening plus movement equals its closing'
+  ELSE 'rows whose closing does not follow from opening plus debits less credits: ' || broken || ', by '
+  || {money('largest')} || ' at most' END""",
     count="n",
 )
 
@@ -184,22 +182,21 @@ SUSPECTED_DIGEST = f"""sha256(entity || chr(31) || account_code || chr(31) || po
 DUPLICATES = f"""
 exact_g AS (
   SELECT 'EXACT' AS kind, {EXACT_DIGEST} AS digest, account_code, posting_date, journal_id, line_no,
-    debit, credit, COUNT(*) AS n, 1 AS journals, '' AS named,
-    string_agg(CAST(row_index AS VARCHAR), ', ' ORDER BY row_index) AS rows_
+    debit, credit, COUNT(*) AS n, 1 AS journals,
+    MIN(row_index) AS first_row, MAX(row_index) AS last_row
   FROM gl GROUP BY entity, account_code, posting_date, journal_id, line_no, debit, credit, description
   HAVING COUNT(*) >= 2),
 suspected_g AS (
   SELECT 'SUSPECTED' AS kind, {SUSPECTED_DIGEST} AS digest, account_code, posting_date,
     CAST(NULL AS VARCHAR) AS journal_id, 0 AS line_no, debit, credit, COUNT(*) AS n,
     COUNT(DISTINCT journal_id) AS journals,
-    array_to_string(list_sort(list(DISTINCT journal_id)), ', ') AS named,
-    string_agg(CAST(row_index AS VARCHAR), ', ' ORDER BY row_index) AS rows_
+    MIN(row_index) AS first_row, MAX(row_index) AS last_row
   FROM gl GROUP BY entity, account_code, posting_date, debit, credit
   HAVING COUNT(DISTINCT journal_id) >= 2)"""
 DEDUPE_EXACT = finding(
     "DEDUPE", "exact_g", "((n - 1) * (debit + credit))",
-    f"""n || ' lines identical across all eight key fields: population rows [' || rows_
-  || '], journal ' || journal_id || ' line ' || line_no || ', account ' || account_code
+    f"""n || ' lines identical across all eight key fields: first at population row ' || first_row
+  || ', last at ' || last_row || ', journal ' || journal_id || ' line ' || line_no || ', account ' || account_code
   || ', dated ' || posting_date || ', debit ' || {money('debit')} || ' credit ' || {money('credit')}
   || '; hash ' || substr(digest, 1, 12)""",
     account="account_code", journal="journal_id", count="n",
@@ -208,7 +205,7 @@ DEDUPE_SUSPECTED = finding(
     "DEDUPE", "suspected_g", "((n - 1) * (debit + credit))",
     f"""n || ' lines share account ' || account_code || ', date ' || posting_date || ', debit '
   || {money('debit')} || ' and credit ' || {money('credit')} || ' under ' || journals
-  || ' journal identifiers (' || named || '): population rows [' || rows_ || ']; hash '
+  || ' journal identifiers: first at population row ' || first_row || ', last at ' || last_row || '; hash '
   || substr(digest, 1, 12)""",
     account="account_code", count="n",
 )
@@ -476,9 +473,17 @@ WHERE opening <> before""",
     "dedupe_suspected": f"{WITH}, {DUPLICATES} {DEDUPE_SUSPECTED}",
     "duplicate_decisions": f"""{WITH}, {DUPLICATES}
 SELECT 'DUP-' || kind || '-' || substr(digest, 1, 12) AS decision_id, kind, CAST(n AS BIGINT) AS group_rows,
-  replace(rows_, ', ', ',') AS row_indices, TRUE AS all_rows_listed, 'PIPELINE' AS decided_by,
+  CAST(journals AS BIGINT) AS journals, CAST(first_row AS BIGINT) AS first_row,
+  CAST(last_row AS BIGINT) AS last_row, 'PIPELINE' AS decided_by,
   'OPEN' AS disposition, TRUE AS reversible
-FROM (SELECT kind, digest, n, rows_ FROM exact_g UNION ALL SELECT kind, digest, n, rows_ FROM suspected_g)""",
+FROM (SELECT kind, digest, n, journals, first_row, last_row FROM exact_g
+  UNION ALL SELECT kind, digest, n, journals, first_row, last_row FROM suspected_g)""",
+    "duplicate_journals": f"""{WITH}, {DUPLICATES}
+SELECT 'DUP-EXACT-' || substr(digest, 1, 12) AS decision_id, kind, journal_id, CAST(n AS BIGINT) AS lines FROM exact_g
+UNION ALL
+SELECT 'DUP-SUSPECTED-' || substr(digest, 1, 12), kind, k.journal_id, COUNT(*) FROM suspected_g
+JOIN (SELECT journal_id, {SUSPECTED_DIGEST} AS digest FROM gl) k USING (digest)
+GROUP BY digest, kind, k.journal_id""",
     "duplicate_members": f"""{WITH}, keyed AS (
   SELECT row_index, journal_id, {EXACT_DIGEST} AS e, {SUSPECTED_DIGEST} AS s FROM gl),
 members AS (

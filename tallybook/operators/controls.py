@@ -19,10 +19,6 @@ from tallybook.functions.text import money_text, plural, sentence
 from tallybook.operators.totals import journal_totals, zero
 from tallybook.schemas import CONTROL_POSITION, ORDER_COLUMNS, REGISTER_COLUMNS
 
-# How many broken accounts, rows or journals one evidence sentence spells out.
-# The rest are counted in it; tb_row_arithmetic and duplicate_members hold all.
-EVIDENCE_LIMIT = 100
-
 
 def as_findings(
     rows: DataFrame,
@@ -357,14 +353,11 @@ def tb_row_arithmetic(summary: DataFrame) -> DataFrame:
     )
 
 
-def c6_tb_internal(
-    summary: DataFrame,
-    tolerance: Decimal,
-    run_id: str = UNIDENTIFIED_RUN,
-    evidence_limit: int = EVIDENCE_LIMIT,
-) -> DataFrame:
-    """At most one finding: some row's arithmetic breaks, or closings do not sum to nil."""
-    broken = tb_row_arithmetic(summary)
+def c6_tb_internal(summary: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN) -> DataFrame:
+    """At most one finding: some row's arithmetic breaks, or closings do not sum to nil.
+
+    The broken rows themselves are those of ``tb_row_arithmetic``.
+    """
     whole = summary.groupBy("entity").agg(
         F.sum("closing_balance").alias("closing"),
         F.count(F.lit(1)).alias("accounts"),
@@ -374,37 +367,22 @@ def c6_tb_internal(
         F.sum("accounts").alias("accounts"),
         F.min_by("entity", "first_row").alias("entity"),
     )
-    clause = sentence(
-        "account ", F.col("account_code"), " closing ", money_text(F.col("closing_balance")),
-        " does not follow from opening ", money_text(F.col("opening_balance")),
-        " plus debits ", money_text(F.col("period_debits")),
-        " less credits ", money_text(F.col("period_credits")),
-        " (", money_text(F.col("derived")), "), a difference of ",
-        money_text(F.col("difference")),
+    counted = tb_row_arithmetic(summary).agg(
+        F.count(F.lit(1)).alias("broken"), F.max("difference").alias("largest")
     )
-    # A distributed top-k: no more than evidence_limit rows reach one task.
-    named = (
-        broken.select("account_code", "row_index", clause.alias("clause"))
-        .orderBy("account_code", "row_index")
-        .limit(evidence_limit)
-        .agg(F.sort_array(F.collect_list(F.struct("account_code", "row_index", "clause"))).alias("named"))
-    )
-    counted = broken.agg(F.count(F.lit(1)).alias("broken"))
     one = F.lit(1).alias("_one")
-    # One row on each side of both joins.
+    # One row on each side of the join.
     rows = (
         whole.select("*", one)
         .join(counted.select("*", one), "_one")
-        .join(named.select("*", one), "_one")
         .where((F.col("accounts") > 0) & ((F.col("broken") > 0) | (F.col("aggregate") != 0)))
     )
-    more = F.col("broken") - F.size("named")
     limb = F.when(
         F.col("broken") == 0, "every account's opening plus movement equals its closing"
     ).otherwise(
-        F.concat(
-            F.array_join(F.col("named.clause"), "; "),
-            F.when(more > 0, sentence("; and ", more, " more")).otherwise(""),
+        sentence(
+            "rows whose closing does not follow from opening plus debits less credits: ",
+            F.col("broken"), ", by ", money_text(F.col("largest")), " at most",
         )
     )
     return as_findings(

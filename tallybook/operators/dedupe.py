@@ -15,20 +15,19 @@ from pyspark.sql import Window as W
 
 from tallybook.config import UNIDENTIFIED_RUN
 from tallybook.functions.text import money_text, sentence
-from tallybook.operators.controls import EVIDENCE_LIMIT, as_findings
+from tallybook.operators.controls import as_findings
 from tallybook.schemas import EXACT_KEY, SUSPECTED_KEY
 from tallybook.workspace import stage
 
 # Fixed value: the separator between key fields before hashing.
 UNIT_SEPARATOR = "\u001f"
 
-# A key with more lines than this is hot: it is joined by broadcast, so that its
-# lines stay spread over the tasks that scanned them.
+# A key with more lines than this, and more than its share below, is hot: it is joined
+# by broadcast, so that its lines stay spread over the tasks that scanned them.
 HOT_ROWS = 1_000_000
-# Most hot keys a broadcast may hold; beyond, AQE's skew join splits them.
+# A hot key also has more than one in this many of all keyed lines, so there are always
+# fewer hot keys than this, and a key that is not hot is a small part of a join.
 HOT_KEYS = 100_000
-# Most groups whose digests are broadcast to drop the lines outside them.
-BROADCAST_GROUPS = 100_000
 # Width of a row_index range numbered by one window task.
 INDEX_RANGE = 1_000_000
 
@@ -59,27 +58,26 @@ def repeated_keys(detail: DataFrame) -> DataFrame:
     )
 
 
-def lines_under(detail: DataFrame, keys: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The detail lines whose key is in ``keys`` (a written table, so its size is known).
+def join_hot(
+    lines: DataFrame, keys: DataFrame, on: list[str], weight: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``lines`` joined with ``keys`` (a written table, one row a key, ``weight`` its lines).
 
-    Catalyst broadcasts the keys if their files are small, else it shuffles both
-    sides. Hot keys are split off first; there are few of them by construction.
+    Hot keys are split off and broadcast: fewer than ``HOT_KEYS`` by construction,
+    whatever the size of the table. The others meet their lines in an ordinary join.
     """
-    hot = keys.where(F.col("key_rows") > hot_rows)
-    hot_keys = hot.count()
-    if hot_keys == 0 or hot_keys > HOT_KEYS:
-        return detail.join(keys.drop("key_rows"), list(SUSPECTED_KEY))
-    cold = keys.where(F.col("key_rows") <= hot_rows).drop("key_rows")
-    return detail.join(cold, list(SUSPECTED_KEY)).unionByName(
-        detail.join(F.broadcast(hot.drop("key_rows")), list(SUSPECTED_KEY))
-    )
+    total = keys.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("lines")).first().lines
+    bound = max(hot_rows, total // HOT_KEYS)
+    hot, cold = keys.where(F.col(weight) > bound), keys.where(F.col(weight) <= bound)
+    joined = lines.join(cold, on)
+    return joined.unionByName(lines.join(F.broadcast(hot), on)) if not hot.isEmpty() else joined
 
 
 def duplicate_candidates(detail: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every line that can belong to a duplicate group, with both its digests. Written."""
     needed = detail.select(*EXACT_KEY, "row_index")
     keys = stage(repeated_keys(needed), "repeated-keys")
-    lines = lines_under(needed, keys, hot_rows)
+    lines = join_hot(needed, keys, list(SUSPECTED_KEY), "key_rows", hot_rows).drop("key_rows")
     return stage(
         lines.select("*", exact_key().alias("exact_key"), suspected_key().alias("suspected_key")),
         "duplicate-candidates",
@@ -90,9 +88,16 @@ def exact_groups(candidates: DataFrame) -> DataFrame:
     """Groups of two or more identical lines: digest, lines."""
     return (
         candidates.groupBy(F.col("exact_key").alias("digest"))
-        .agg(F.count(F.lit(1)).alias("group_rows"), F.min("row_index").alias("first_row"))
+        .agg(
+            F.count(F.lit(1)).alias("group_rows"),
+            F.min("row_index").alias("first_row"),
+            F.max("row_index").alias("last_row"),
+        )
         .where(F.col("group_rows") >= 2)
-        .select("digest", F.lit("EXACT").alias("kind"), "group_rows", F.lit(1).cast("bigint").alias("journals"), "first_row")
+        .select(
+            "digest", F.lit("EXACT").alias("kind"), "group_rows", F.lit(1).cast("bigint").alias("journals"),
+            "first_row", "last_row",
+        )
     )
 
 
@@ -101,15 +106,20 @@ def suspected_groups(candidates: DataFrame) -> DataFrame:
     # Two levels, both with map-side combine: lines per journal, then journals per key.
     return (
         candidates.groupBy(F.col("suspected_key").alias("digest"), "journal_id")
-        .agg(F.count(F.lit(1)).alias("lines"), F.min("row_index").alias("first_row"))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.min("row_index").alias("first_row"),
+            F.max("row_index").alias("last_row"),
+        )
         .groupBy("digest")
         .agg(
             F.sum("lines").alias("group_rows"),
             F.count(F.lit(1)).alias("journals"),
             F.min("first_row").alias("first_row"),
+            F.max("last_row").alias("last_row"),
         )
         .where(F.col("journals") >= 2)
-        .select("digest", F.lit("SUSPECTED").alias("kind"), "group_rows", "journals", "first_row")
+        .select("digest", F.lit("SUSPECTED").alias("kind"), "group_rows", "journals", "first_row", "last_row")
     )
 
 
@@ -117,20 +127,37 @@ def duplicate_groups(candidates: DataFrame) -> DataFrame:
     return exact_groups(candidates).unionByName(suspected_groups(candidates))
 
 
-def _members(candidates: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    return candidates.withColumnRenamed(key, "digest").join(groups, "digest")
+def _members(candidates: DataFrame, hot_rows: int) -> DataFrame:
+    """Every line of every group beside its group."""
+    groups = stage(duplicate_groups(candidates), "duplicate-groups")
+
+    def of(kind: str, key: str, other: str) -> DataFrame:
+        lines = candidates.withColumnRenamed(key, "digest").drop(other)
+        return join_hot(lines, groups.where(F.col("kind") == kind), ["digest"], "group_rows", hot_rows)
+
+    return of("EXACT", "exact_key", "suspected_key").unionByName(of("SUSPECTED", "suspected_key", "exact_key"))
+
+
+def duplicate_journals(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per (group, journal) with how many of the group's lines it holds."""
+    return (
+        _members(candidates, hot_rows)
+        .groupBy("kind", "digest", "journal_id")
+        .agg(F.count(F.lit(1)).alias("lines"))
+        .select(decision_id().alias("decision_id"), "kind", "journal_id", "lines")
+    )
 
 
-def duplicate_members(candidates: DataFrame, index_range: int = INDEX_RANGE) -> DataFrame:
+def duplicate_members(
+    candidates: DataFrame, index_range: int = INDEX_RANGE, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """One row per (group, line) with the line's occurrence number, from 1.
 
     A window numbers only the lines of one row_index range, at most ``index_range``
     of them; the lines in earlier ranges are added from per-range counts. So a
     group of any size spreads over many tasks.
     """
-    both = _members(candidates, exact_groups(candidates), "exact_key").drop("suspected_key").unionByName(
-        _members(candidates, suspected_groups(candidates), "suspected_key").drop("exact_key")
-    )
+    both = _members(candidates, hot_rows)
     ranged = both.withColumn("_range", F.floor(F.col("row_index") / index_range))
     earlier = W.partitionBy("kind", "digest").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     before = (
@@ -152,69 +179,14 @@ def decision_id() -> Column:
     return sentence("DUP-", F.col("kind"), "-", F.substring("digest", 1, 12))
 
 
-def _of_groups(lines: DataFrame, groups: DataFrame, few: bool) -> DataFrame:
-    """Drop lines outside the groups where the groups are few enough to broadcast."""
-    return lines.join(F.broadcast(groups.select("digest")), "digest", "left_semi") if few else lines
-
-
-def _first_rows(
-    candidates: DataFrame, key: str, groups: DataFrame, few: bool, limit: int
-) -> DataFrame:
-    """Per digest: its first row indices and its first line's fields.
-
-    Rank filters run before the shuffle, so each task sends ``limit`` rows of a group at
-    most, however many the group has.
-    """
-    lines = candidates.withColumnRenamed(key, "digest").select("digest", *EXACT_KEY, "row_index")
-    place = F.row_number().over(W.partitionBy("digest").orderBy("row_index"))
-    return (
-        _of_groups(lines, groups, few)
-        .withColumn("_place", place)
-        .where(F.col("_place") <= limit)
-        .groupBy("digest")
-        .agg(
-            F.sort_array(F.collect_list("row_index")).alias("rows_listed"),
-            F.min_by(F.struct(*EXACT_KEY), "_place").alias("first"),
-        )
-    )
-
+def described_groups(candidates: DataFrame) -> DataFrame:
+    """One row per group with its first line's fields, fetched by row_index.
 
-def _first_journals(candidates: DataFrame, groups: DataFrame, few: bool, limit: int) -> DataFrame:
-    """Per suspected digest: its first journals in order, limited the same way."""
-    pairs = candidates.select(F.col("suspected_key").alias("digest"), "journal_id")
-    place = F.row_number().over(W.partitionBy("digest").orderBy("journal_id"))
-    return (
-        _of_groups(pairs, groups, few)
-        .distinct()
-        .withColumn("_place", place)
-        .where(F.col("_place") <= limit)
-        .groupBy("digest")
-        .agg(F.sort_array(F.collect_list("journal_id")).alias("journals_listed"))
-    )
-
-
-def described_groups(candidates: DataFrame, evidence_limit: int = EVIDENCE_LIMIT) -> DataFrame:
-    """One row per group: its first line's fields, first rows and first journals.
-
-    The groups are written first; how many there are decides how lines meet them.
+    The groups are written first, so that Catalyst knows their size.
     """
     groups = stage(duplicate_groups(candidates), "duplicate-groups")
-    sizes = {r.kind: r["count"] for r in groups.groupBy("kind").count().collect()}
-    exact, suspected = groups.where("kind = 'EXACT'"), groups.where("kind = 'SUSPECTED'")
-    few_exact = sizes.get("EXACT", 0) <= BROADCAST_GROUPS
-    few_suspected = sizes.get("SUSPECTED", 0) <= BROADCAST_GROUPS
-    of_exact = exact.join(
-        _first_rows(candidates, "exact_key", exact, few_exact, evidence_limit), "digest"
-    ).withColumn("journals_listed", F.array("first.journal_id"))
-    of_suspected = suspected.join(
-        _first_rows(candidates, "suspected_key", suspected, few_suspected, evidence_limit), "digest"
-    ).join(_first_journals(candidates, suspected, few_suspected, evidence_limit), "digest")
-    return of_exact.unionByName(of_suspected)
-
-
-def _more(total: Column, listed: Column) -> Column:
-    rest = total - F.size(listed)
-    return F.when(rest > 0, sentence(", and ", rest, " more")).otherwise("")
+    first = candidates.select(F.col("row_index").alias("first_row"), F.struct(*EXACT_KEY).alias("first"))
+    return groups.join(first, "first_row")
 
 
 def dedupe_findings(
@@ -226,16 +198,11 @@ def dedupe_findings(
         (F.col("group_rows") - 1).cast("decimal(19,0)")
         * (F.col("debit") + F.col("credit")).cast("decimal(38,2)")
     ).cast("decimal(38,2)")
-    listed = F.concat(
-        F.lit("["),
-        F.array_join(F.col("rows_listed").cast("array<string>"), ", "),
-        _more(F.col("group_rows"), F.col("rows_listed")),
-        F.lit("]"),
-    )
+    listed = sentence("first at population row ", F.col("first_row"), ", last at ", F.col("last_row"))
     short = F.substring("digest", 1, 12)
     date, code = F.col("posting_date"), F.col("account_code")
     exact = sentence(
-        F.col("group_rows"), " lines identical across all eight key fields: population rows ",
+        F.col("group_rows"), " lines identical across all eight key fields: ",
         listed, ", journal ", F.col("journal_id"), " line ", F.col("line_no"), ", account ", code,
         ", dated ", date, ", debit ", money_text(F.col("debit")), " credit ",
         money_text(F.col("credit")), "; hash ", short,
@@ -243,9 +210,7 @@ def dedupe_findings(
     suspected = sentence(
         F.col("group_rows"), " lines share account ", code, ", date ", date, ", debit ",
         money_text(F.col("debit")), " and credit ", money_text(F.col("credit")), " under ",
-        F.col("journals"), " journal identifiers (",
-        F.array_join("journals_listed", ", "), _more(F.col("journals"), F.col("journals_listed")),
-        "): population rows ", listed, "; hash ", short,
+        F.col("journals"), " journal identifiers: ", listed, "; hash ", short,
     )
     is_exact = F.col("kind") == "EXACT"
     findings = as_findings(
@@ -265,18 +230,18 @@ def dedupe_findings(
 
 
 def duplicate_decisions(described: DataFrame, decided_at: Column) -> DataFrame:
-    """A reversible record per group. Rows past those listed are in duplicate_members."""
+    """A reversible record per group; its lines are ``duplicate_members``, its journals ``duplicate_journals``."""
     return described.select(
         decision_id().alias("decision_id"),
         "kind",
         "group_rows",
-        F.col("rows_listed").alias("row_indices"),
-        (F.size("rows_listed") == F.col("group_rows")).alias("all_rows_listed"),
+        "journals",
         F.lit("PIPELINE").alias("decided_by"),
         decided_at.alias("decided_at"),
         F.lit("OPEN").alias("disposition"),
         F.lit(True).alias("reversible"),
         "first_row",
+        "last_row",
     )
 
 

@@ -21,6 +21,7 @@ from tallybook.operators import dedupe as D
 from tallybook.operators import mapping as M
 from tallybook.operators import report as R
 from tallybook.operators import validate as V
+from tallybook.operators.controls import tb_row_arithmetic
 from tallybook.operators.projection import canonical_projection
 from tallybook.plans.register import (
     all_findings,
@@ -203,6 +204,8 @@ def reconcile(
     keep["control_total"] = totals[0].unionByName(totals[1])
     keep["decisions"] = D.duplicate_decisions(described, F.lit(started).cast("timestamp"))
     keep["duplicate_members"] = D.duplicate_members(candidates)
+    keep["duplicate_journals"] = D.duplicate_journals(candidates)
+    keep["tb_row_arithmetic"] = tb_row_arithmetic(summary)
     quarantine = [
         V.quarantined_rows(rows).withColumn("dataset", F.lit(dataset)) for dataset, rows in checked.items()
     ]
@@ -227,7 +230,10 @@ def reconcile(
     )
 
     sinks.write_register(keep["findings"], f"{out_dir}/register")
-    for name in ("manifest", "control_summary", "decisions", "duplicate_members", "quarantine"):
+    for name in (
+        "manifest", "control_summary", "decisions", "duplicate_members", "duplicate_journals",
+        "tb_row_arithmetic", "agreement", "quarantine",
+    ):
         keep[name].write.parquet(f"{out_dir}/{name}")
     sinks.write_run_log(keep["run_log"], f"{out_dir}/run_log")
     outcome.status = COMPLETED

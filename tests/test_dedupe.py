@@ -1,4 +1,4 @@
-"""Duplicates: groups, members, hot keys and what the evidence spells out."""
+"""Duplicates: groups, members, journals, hot keys and what the evidence says."""
 
 import hashlib
 from collections import defaultdict
@@ -14,9 +14,9 @@ from tallybook.schemas import DETAIL_RULES
 T = Decimal("1000.00")
 
 
-def findings(spark, lines, **options):
+def findings(spark, lines):
     candidates = D.duplicate_candidates(detail(spark, lines))
-    described = D.described_groups(candidates, **options)
+    described = D.described_groups(candidates)
     rows = D.dedupe_findings(described, T).orderBy("block", "sort_row").collect()
     return rows, candidates, described
 
@@ -27,10 +27,10 @@ def test_exact_pair(spark):
     assert (found.journal_id, found.account_code, found.value, found.record_count) == ("J-001", "6000", Decimal("1200.00"), 2)
     key = "\x1f".join(["AU01", "6000", "2025-08-01", "J-001", "1", "1200.00", "0.00", ""])
     digest = hashlib.sha256(key.encode()).hexdigest()
-    assert found.evidence.endswith(f"hash {digest[:12]}") and "population rows [0, 1]" in found.evidence
+    assert found.evidence.endswith(f"hash {digest[:12]}") and ": first at population row 0, last at 1, journal" in found.evidence
     decision = D.duplicate_decisions(described, F.current_timestamp()).first()
     assert decision.decision_id == f"DUP-EXACT-{digest[:12]}"
-    assert (decision.row_indices, decision.all_rows_listed, decision.reversible) == ([0, 1], True, True)
+    assert (decision.first_row, decision.last_row, decision.journals, decision.reversible) == (0, 1, 1, True)
 
 
 def test_exact_and_suspected_overlap_and_one_journal_is_not_suspect(spark):
@@ -40,7 +40,7 @@ def test_exact_and_suspected_overlap_and_one_journal_is_not_suspect(spark):
     ]
     rows, _, _ = findings(spark, lines)
     assert [(r.sort_code, r.record_count, r.journal_id) for r in rows] == [("EXACT", 2, "J-B"), ("SUSPECTED", 3, None)]
-    assert "under 2 journal identifiers (J-A, J-B): population rows [0, 1, 2]" in rows[1].evidence
+    assert "under 2 journal identifiers: first at population row 0, last at 2" in rows[1].evidence
     assert rows[1].value == Decimal("20.00")
 
 
@@ -63,7 +63,7 @@ def test_a_third_of_all_rows_under_one_key(spark, hot_rows):
     rest = [line(f"K-{i}", str(i % 40), str(i % 11)) for i in range(600)]
     lines = [row for trio in zip(hot, rest[:300], rest[300:]) for row in trio]
     candidates = D.duplicate_candidates(detail(spark, lines), hot_rows=hot_rows)
-    members = D.duplicate_members(candidates, index_range=50).collect()
+    members = D.duplicate_members(candidates, index_range=50, hot_rows=hot_rows).collect()
     got = defaultdict(list)
     for m in members:
         got[m.decision_id].append(m)
@@ -74,14 +74,17 @@ def test_a_third_of_all_rows_under_one_key(spark, hot_rows):
     assert sorted((g[0].kind, tuple(m.row_index for m in g)) for g in got.values()) == brute_force(lines)
 
 
-def test_evidence_counts_what_it_does_not_spell_out(spark):
-    lines = [line(f"J-{i}", "9", "1") for i in range(6)]
-    (found,), candidates, described = findings(spark, lines, evidence_limit=2)
-    assert "population rows [0, 1, and 4 more]" in found.evidence
-    assert "under 6 journal identifiers (J-0, J-1, and 4 more)" in found.evidence
-    assert found.value == Decimal("5.00")
-    assert not D.duplicate_decisions(described, F.current_timestamp()).first().all_rows_listed
-    assert D.duplicate_members(candidates).count() == 6
+@pytest.mark.parametrize("size", [100, 101, 250])
+def test_a_group_of_any_size_has_one_shape_of_evidence_and_all_its_rows(spark, size):
+    lines = [line(f"J-{i // 2}", "9", "1", line_no=i) for i in range(size)]
+    (found,), candidates, described = findings(spark, lines)
+    journals = -(-size // 2)
+    assert f"under {journals} journal identifiers: first at population row 0, last at {size - 1};" in found.evidence
+    assert found.value == Decimal(size - 1)
+    assert D.duplicate_decisions(described, F.current_timestamp()).first().journals == journals
+    assert sorted(r.row_index for r in D.duplicate_members(candidates).collect()) == list(range(size))
+    held = {r.journal_id: r.lines for r in D.duplicate_journals(candidates).collect()}
+    assert len(held) == journals and sum(held.values()) == size
 
 
 def test_population_is_left_alone(spark):

@@ -66,8 +66,8 @@ def test_cold_approve_warm(spark, engagement, inputs, tmp_path):
     duplicate = [r.evidence for r in warm.tables["findings"].collect() if r.control_id == "DEDUPE"]
     journal, on, n, account, amount = LINES[-1]
     assert duplicate[0].startswith(
-        f"2 lines identical across all eight key fields: population rows [{LINES.index(LINES[-1])}, {len(LINES) - 1}], "
-        f"journal {journal} line {n}, account {account}, dated {on}, debit {amount}.00 credit 0.00; hash "
+        f"2 lines identical across all eight key fields: first at population row {LINES.index(LINES[-1])}, "
+        f"last at {len(LINES) - 1}, journal {journal} line {n}, account {account}, dated {on}, debit {amount}.00 credit 0.00; hash "
     )
     counters = warm.tables["counters"].first().asDict()
     assert counters == {
