@@ -159,9 +159,14 @@ def measures(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: s
     return stage(rows.withColumn("base_failed", base_failed()), "measures")
 
 
+def distinct_texts(figures: DataFrame) -> DataFrame:
+    """One row per language and text that passes the base rules, so that copies have no weight in a band."""
+    return figures.filter(~F.col("base_failed")).select("_llm_lang", DIGEST, *MEASURES).distinct()
+
+
 def bands(figures: DataFrame) -> tuple[list[str], list[dict]]:
     """The frequent languages, and per language its limits: (measure, low, high) in thousandths."""
-    sound = figures.filter(~F.col("base_failed"))
+    sound = distinct_texts(figures)
     frequent = [
         r[0] for r in sound.groupBy("_llm_lang").count().orderBy(F.desc("count"), "_llm_lang").limit(LANGUAGES).collect()
     ]
@@ -201,9 +206,10 @@ def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: st
     single bytes for want of a better one, and the entropy of the tokens; words are
     separated by space and the characters from tab to carriage return, and encoded one by
     one. A document that passes the base rules is rejected if a measure lies outside its
-    language's band: the median of all passing documents of the language, and so many
+    language's band: the median of all distinct passing texts of the language, and so many
     robust standard deviations to either side (byte share: above only; entropy: below
-    only). Medians and quartiles are exact, over counts of values in thousandths.
+    only). Medians and quartiles are exact, over counts of values in thousandths; a text
+    counts once for its language, however many copies there are.
 
     A null or empty text has no words and fails the base rules; a null language is one
     like others; without a language column all documents share one band. Repeated rows

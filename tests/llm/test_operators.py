@@ -129,6 +129,23 @@ def test_fertility(docs, rows):
     assert fertility.kept_documents(docs).count() == sum(r.kept for r in found)
 
 
+def prose(rng, letters, longest, words=120):
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(1, longest)))
+    return " ".join(word() for _ in range(words))
+
+
+def test_copies_do_not_narrow_a_band(spark):
+    rng = random.Random(11)
+    clean = [(n, prose(rng, "etaoinshr", 3 + n % 7), "en") for n in range(80)]
+    alone = fertility.quality(spark.createDataFrame(clean, "doc_id long, text string, lang string")).collect()
+    middle = sorted(alone, key=lambda r: r.chars_per_token)[40].doc_id
+    copies = [(1000 + n, clean[middle][1], "en") for n in range(200)]
+    both = fertility.quality(spark.createDataFrame(clean + copies, "doc_id long, text string, lang string")).collect()
+    kept = {r.doc_id for r in both if r.kept}
+    assert {r.doc_id for r in alone if r.kept} == set(range(80))
+    assert kept == set(range(80)) | set(range(1000, 1200))
+
+
 def test_fertility_measures():
     found = fertility.fertility(["ab ab cd", "", "中\U00013000"], fertility.VOCABULARIES)
     pieces = vocabulary("piece_bpe_32k.model").pieces
