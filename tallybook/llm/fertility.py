@@ -17,9 +17,6 @@ from tallybook.llm.vocabularies import grouped, in_use, vocabulary_path
 
 #: The first one also measures byte fallback and token entropy.
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
-#: Languages with bands of their own, the most frequent ones; all others share one.
-LANGUAGES = 64
-OTHER = "(other)"
 #: A band reaches so many robust standard deviations to either side of a language's median ...
 WIDTH = 4.0
 #: ... which count as this at least: a share of the median, and bits of entropy.
@@ -35,6 +32,7 @@ _SYMBOL[list(b"#*$%&|<>")] = 1
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Measures with bands, in thousandths, so that counts of their values give exact medians.
 MEASURES = ("chars_per_token", "chars_per_token_2", "byte_share", "entropy")
+_STACKED = ", ".join(f"'{x}', {x}" for x in MEASURES)
 
 
 def _per_row(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -164,39 +162,34 @@ def distinct_texts(figures: DataFrame) -> DataFrame:
     return figures.filter(~F.col("base_failed")).select("_llm_lang", DIGEST, *MEASURES).distinct()
 
 
-def bands(figures: DataFrame) -> tuple[list[str], list[dict]]:
-    """The frequent languages, and per language its limits: (measure, low, high) in thousandths."""
-    sound = distinct_texts(figures)
-    frequent = [
-        r[0] for r in sound.groupBy("_llm_lang").count().orderBy(F.desc("count"), "_llm_lang").limit(LANGUAGES).collect()
-    ]
-    group = F.when(F.col("_llm_lang").isin(frequent), F.col("_llm_lang")).otherwise(OTHER)
-    limits = []
+def bands(figures: DataFrame) -> DataFrame:
+    """Staged limits in thousandths: one row per language, with a low and a high of every measure."""
+    values = distinct_texts(figures).select("_llm_lang", F.expr(f"stack({len(MEASURES)}, {_STACKED}) as (measure, value)"))
+    counts = values.groupBy("_llm_lang", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    quartiles = counts.groupBy("_llm_lang", "measure").agg(F.expr("percentile(value, array(0.25D, 0.5D, 0.75D), n)").alias("q"))
+    low, middle, high = (F.col("q")[i] for i in range(3))
+    least = F.when(F.col("measure") == "entropy", 1000 * LEAST_BITS).otherwise(LEAST_SHARE * middle)
+    spread = WIDTH * F.greatest((high - low) / 1.349, least)
+    limits = quartiles.select("_llm_lang", "measure", (middle - spread).alias("low"), (middle + spread).alias("high"))
+    sides = []
     for measure in MEASURES:
-        values = sound.groupBy(group.alias("language"), F.col(measure).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        quartiles = values.groupBy("language").agg(F.expr("percentile(value, array(0.25, 0.5, 0.75), n)").alias("q"))
-        for row in quartiles.collect():  # at most LANGUAGES + 1 rows
-            low, middle, high = row.q
-            least = 1000 * LEAST_BITS if measure == "entropy" else LEAST_SHARE * middle
-            spread = WIDTH * max((high - low) / 1.349, least)
-            bound = {"language": row.language, "measure": measure, "low": middle - spread, "high": middle + spread}
+        for side in ("low", "high"):
+            of_measure = F.max(F.when(F.col("measure") == measure, F.col(side)))
             if measure == "byte_share":
-                bound |= {"low": 0.0, "high": max(bound["high"], 1000 * FREE_FALLBACK)}
-            elif measure == "entropy":
-                bound["high"] = float("inf")
-            limits.append(bound)
-    return frequent, limits
+                of_measure = F.lit(0.0) if side == "low" else F.greatest(of_measure, F.lit(1000 * FREE_FALLBACK))
+            elif measure == "entropy" and side == "high":
+                of_measure = F.lit(float("inf"))
+            sides.append(of_measure.alias(f"_llm_{side}_{measure}"))
+    return stage(limits.groupBy("_llm_lang").agg(*sides), "bands")
 
 
 def judged(figures: DataFrame) -> DataFrame:
-    """``figures`` with ``kept``."""
-    frequent, limits = bands(figures)
-    group = F.when(F.col("_llm_lang").isin(frequent), F.col("_llm_lang")).otherwise(OTHER) if frequent else F.lit(OTHER)
-    inside = F.lit(True)
-    for x in limits:
-        fits = F.col(x["measure"]).between(F.lit(x["low"]), F.lit(x["high"]))
-        inside = inside & ((group != x["language"]) | fits)
-    return figures.withColumn("kept", ~F.col("base_failed") & inside)
+    """``figures`` with ``kept``; a language without limits has no document that passes the base rules."""
+    kept = ~F.col("base_failed")
+    for x in MEASURES:
+        kept = kept & F.col(x).between(F.col(f"_llm_low_{x}"), F.col(f"_llm_high_{x}"))
+    limited = figures.join(bands(figures), "_llm_lang", "left")
+    return limited.select(*figures.columns, F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
 def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: str = "lang") -> DataFrame:
@@ -209,7 +202,8 @@ def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: st
     language's band: the median of all distinct passing texts of the language, and so many
     robust standard deviations to either side (byte share: above only; entropy: below
     only). Medians and quartiles are exact, over counts of values in thousandths; a text
-    counts once for its language, however many copies there are.
+    counts once for its language, however many copies there are. Every language has bands
+    of its own, whatever their number.
 
     A null or empty text has no words and fails the base rules; a null language is one
     like others; without a language column all documents share one band. Repeated rows

@@ -146,6 +146,17 @@ def test_copies_do_not_narrow_a_band(spark):
     assert kept == set(range(80)) | set(range(1000, 1200))
 
 
+def test_every_language_has_its_own_bands(spark):
+    rng = random.Random(12)
+    common = [(f"l{n:02}", prose(rng, "etaoinshr", 7, 60)) for n in range(65) for _ in range(6)]
+    rare = ("zz", prose(rng, "\u1200\u1210\u1228\u1260\u1270\u1290", 4, 60))  # a script that is all byte fallback
+    rows = [(n, text, lang) for n, (lang, text) in enumerate([*common, rare])]
+    found = fertility.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(found) == len(rows)
+    last = next(r for r in found if r.doc_id == len(common))
+    assert last.byte_share > 500 and not last.base_failed and last.kept
+
+
 def test_fertility_measures():
     found = fertility.fertility(["ab ab cd", "", "中\U00013000"], fertility.VOCABULARIES)
     pieces = vocabulary("piece_bpe_32k.model").pieces
