@@ -56,12 +56,15 @@ def _item_sets(size: int):
     return emit
 
 
-def item_sets(items: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Staged distinct shingle sets of the items; items with equal sets are one, under the least item_id."""
-    texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(TEXT, F.lit("")).alias(TEXT))
-    sets = texts.mapInArrow(_item_sets(size), "item_id long, digest long, hashes array<long>").filter(F.size("hashes") > 0)
+def item_sets(items: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """Staged distinct shingle sets of the items, and the ids of every set that more than one item has."""
+    number = F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id")
+    texts = items.select(number, F.coalesce(TEXT, F.lit("")).alias(TEXT))
+    sets = stage(texts.mapInArrow(_item_sets(size), "item_id long, digest long, hashes array<long>").filter(F.size("hashes") > 0), "sets")
     same = sets.groupBy("digest", "hashes").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"))
-    return stage(same, "items")
+    same = stage(same, "items")
+    shared = sets.select("digest", "item_id").join(same.filter("n_items > 1").select("digest"), "digest", "left_semi")
+    return same, stage(shared.distinct(), "members")
 
 
 @dataclass(frozen=True)
@@ -69,6 +72,7 @@ class Block:
     """Item sets laid out for search: sorted distinct hashes, and per hash the items that have it."""
 
     ids: np.ndarray
+    digests: np.ndarray
     sizes: np.ndarray
     needed: np.ndarray
     hashes: np.ndarray
@@ -99,8 +103,8 @@ def block_of(rows: list, threshold: float) -> Block:
     hashes, first = np.unique(flat[order], return_index=True)
     coarse = np.zeros(1 << _COARSE_BITS, bool)
     coarse[(hashes >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)] = True
-    ids = np.array([-1 if r.item_id is None else r.item_id for r in rows], np.int64)
-    return Block(ids, sizes, needed, hashes, np.append(first, len(flat)), item[order], sketched[order], coarse)
+    ids, digests = (np.array([r[c] for r in rows], np.int64) for c in ("item_id", "digest"))
+    return Block(ids, digests, sizes, needed, hashes, np.append(first, len(flat)), item[order], sketched[order], coarse)
 
 
 def _contained(block, size: int):
@@ -126,41 +130,52 @@ def _contained(block, size: int):
                     [
                         *(batch.column(c).take(rows) for c in ("doc_id", *KEY)),
                         pa.array(b.ids[item]),
+                        pa.array(b.digests[item]),
                         pa.array(b.sizes[item]),
                         pa.array(shared[kept].astype(np.int64)),
                     ],
-                    names=["doc_id", *KEY, "item_id", "n_shingles", "n_shared"],
+                    names=["doc_id", *KEY, "item_id", "digest", "n_shingles", "n_shared"],
                 )
 
     return emit
 
 
-def containments(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """Rows (doc_id, key, item_id, n_shingles, n_shared, containment) of all items found in documents.
-
-    Words are runs of letters and digits in lower case; an item or document with fewer
-    words than a shingle has all its words as one. An item without words is never found,
-    a document without words has none. Items with equal shingle sets are one, reported
-    under their least item_id (``item_sets`` has the numbers); a null item_id is -1.
-    Repeated documents are reported each. The items are the stated queries of a search
-    against all documents: they are broadcast in blocks of bounded size, and the
-    documents are read once per block.
-    """
+def _found_sets(docs: DataFrame, sets: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Rows (doc_id, key, item_id, digest, n_shingles, n_shared): the staged sets found in documents."""
     spark = docs.sparkSession
-    sets = item_sets(items, size)
     total = sets.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0)).alias("n")).first().n
     blocks = max(1, -(-total // BLOCK_SHINGLES))
     texts = identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), TEXT)).select("doc_id", *KEY, TEXT)
-    schema = f"doc_id long, {RANK} long, {DIGEST} long, item_id long, n_shingles long, n_shared long"
+    schema = f"doc_id long, {RANK} long, {DIGEST} long, item_id long, digest long, n_shingles long, n_shared long"
     found = None
     for n in range(blocks):
         rows = sets.filter(F.pmod("digest", F.lit(blocks)) == n).collect()  # about BLOCK_SHINGLES hashes
         block = spark.sparkContext.broadcast(block_of(rows, threshold))
         some = texts.mapInArrow(_contained(block, size), schema)
         found = some if found is None else found.unionByName(some)
-    return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    return found
+
+
+def containments(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """Rows (doc_id, key, item_id, n_shingles, n_shared, containment) of all items found in documents.
+
+    Words are runs of letters and digits in lower case; an item or document with fewer
+    words than a shingle has all its words as one. An item without words is never found,
+    a document without words has none. Items with equal shingle sets are searched for
+    once and reported each; a null item_id is -1, and an item that is there twice under
+    one id is one. Repeated documents are reported each. The items are the stated queries
+    of a search against all documents: they are broadcast in blocks of bounded size, and
+    the documents are read once per block.
+    """
+    sets, members = item_sets(items, size)
+    found = _found_sets(docs, sets, threshold, size)
+    others = members.withColumnRenamed("item_id", "_llm_member")
+    each = found.join(others, "digest", "left").withColumn("item_id", F.coalesce("_llm_member", "item_id"))
+    columns = ("doc_id", *KEY, "item_id", "n_shingles", "n_shared")
+    return each.select(*columns, (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
-    return without(docs, stage(containments(docs, items, threshold, size).select(*KEY).distinct(), "contaminated"))
+    found = _found_sets(docs, item_sets(items, size)[0], threshold, size)
+    return without(docs, stage(found.select(*KEY).distinct(), "contaminated"))

@@ -278,6 +278,15 @@ def test_contained_items(docs, rows, spark):
     )
 
 
+def test_items_of_equal_text_are_each_found(docs, rows, spark):
+    words = rows[100 - 60][1].split()
+    text = " ".join(words[10:40])
+    items = [(8, text), (2, text.upper()), (5, text.replace(" ", ", ")), (6, " ".join(words[50:70]))]
+    found = decontamination.containments(docs, spark.createDataFrame([*items, items[0]], "item_id long, text string"))
+    got = Counter((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in found.collect())
+    assert got == Counter(brute.contained(rows, items)) and {i for _, i, *_ in got} == {2, 5, 6, 8}
+
+
 def test_chat_windows(spark):
     rng = random.Random(2)
     bits = ["<|im_end|>", "<|im_start|>", "&amp;", "&", "lt;|", "<", "|", "\xe9\U0001f600", "\n", "user\n", " ok "]
