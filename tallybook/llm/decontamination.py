@@ -78,6 +78,7 @@ class Block:
     hashes: np.ndarray
     first: np.ndarray
     items: np.ndarray
+    #: The hashes of all signatures, and which of their high bits occur.
     sketched: np.ndarray
     coarse: np.ndarray
 
@@ -101,30 +102,38 @@ def block_of(rows: list, threshold: float) -> Block:
     sketched = rank < longest[partition[item]]
     order = np.argsort(flat, kind="stable")
     hashes, first = np.unique(flat[order], return_index=True)
+    least = np.unique(flat[sketched])
     coarse = np.zeros(1 << _COARSE_BITS, bool)
-    coarse[(hashes >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)] = True
+    coarse[(least >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)] = True
     ids, digests = (np.array([r[c] for r in rows], np.int64) for c in ("item_id", "digest"))
-    return Block(ids, digests, sizes, needed, hashes, np.append(first, len(flat)), item[order], sketched[order], coarse)
+    return Block(ids, digests, sizes, needed, hashes, np.append(first, len(flat)), item[order], least, coarse)
+
+
+def _among(sorted_hashes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are among the sorted ones, and where."""
+    place = np.minimum(np.searchsorted(sorted_hashes, found), max(0, len(sorted_hashes) - 1))
+    return (sorted_hashes[place] == found if len(sorted_hashes) else np.zeros(len(found), bool)), place
 
 
 def _contained(block, size: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b: Block = block.value
         for batch in batches:
-            for i, _, found, row in lowered_shingles(batch.column(TEXT), size):
-                near = b.coarse[(found >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)]
-                found, row = found[near], row[near]
-                place = np.minimum(np.searchsorted(b.hashes, found), max(0, len(b.hashes) - 1))
-                hit = b.hashes[place] == found if len(b.hashes) else np.zeros(0, bool)
+            for i, rows, found, row in lowered_shingles(batch.column(TEXT), size):
+                # Signatures alone choose the documents; only theirs are compared in full.
+                near = np.flatnonzero(b.coarse[(found >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)])
+                chosen = np.zeros(rows, bool)
+                chosen[row[near[_among(b.sketched, found[near])[0]]]] = True
+                found, row = found[chosen[row]], row[chosen[row]]
+                hit, place = _among(b.hashes, found)
                 pairs = np.unique((row[hit] << 32) | place[hit])
                 row, place = pairs >> 32, pairs & 0xFFFFFFFF
                 many = b.first[place + 1] - b.first[place]
                 at = np.repeat(b.first[place], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 pair = (np.repeat(row, many) << 32) | b.items[at]
-                candidates = np.unique(pair[b.sketched[at]])
                 pair, shared = np.unique(pair, return_counts=True)
                 item = pair & 0xFFFFFFFF
-                kept = np.isin(pair, candidates, assume_unique=True) & (shared >= b.needed[item])
+                kept = shared >= b.needed[item]
                 item, rows = item[kept], pa.array((pair[kept] >> 32) + i)
                 yield pa.RecordBatch.from_arrays(
                     [

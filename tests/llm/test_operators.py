@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -287,6 +288,13 @@ def test_items_of_equal_text_are_each_found(docs, rows, spark):
     assert got == Counter(brute.contained(rows, items)) and {i for _, i, *_ in got} == {2, 5, 6, 8}
 
 
+def test_signatures_choose_documents():
+    sets = [np.sort(np.random.default_rng(n).integers(1, 1 << 62, 20)) for n in range(5)]
+    block = decontamination.block_of([Row(item_id=n, digest=n, hashes=x.tolist()) for n, x in enumerate(sets)], 0.8)
+    # A match lacks 4 shingles of 20 at most, so five hashes of each set are searched for.
+    assert sorted(block.sketched.tolist()) == sorted(h for x in sets for h in x[:5].tolist())
+
+
 def test_chat_windows(spark):
     rng = random.Random(2)
     bits = ["<|im_end|>", "<|im_start|>", "&amp;", "&", "lt;|", "<", "|", "\xe9\U0001f600", "\n", "user\n", " ok "]
