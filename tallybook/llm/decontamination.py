@@ -11,6 +11,7 @@ containment settles each candidate.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,17 +33,24 @@ _COARSE_BITS = 20
 #: Words are of letters and digits; every byte beyond ASCII counts as a letter.
 _GAP = np.array([not (c >= 128 or chr(c).isalnum()) for c in range(256)])
 
+_WORD = re.compile(r"(?:[0-9A-Za-z]|[^\x00-\x7f])+")
 
-def lowered_shingles(column: pa.Array, size: int):
-    """Per chunk of texts in lower case: first row, rows, and hash and row of every shingle."""
+
+def lowered_shingles(column: pa.Array, size: int, shorter: tuple[int, ...] = ()):
+    """Per chunk of texts in lower case: first row, rows, and hash and row of every shingle.
+
+    ``shorter`` are lengths of further windows. A hash depends on the number of words,
+    so windows of one length never match those of another.
+    """
     data, bounds = H.text_bytes(pc.utf8_lower(column))
     for i, j in H.chunks(bounds):
         hashes, _, _, first = H.words(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], gap=_GAP)
-        yield i, j - i, *H.shingles(hashes, first, size)
+        every = [H.shingles(hashes, first, n) for n in (size, *shorter)]
+        yield i, j - i, *map(np.concatenate, zip(*every, strict=True))
 
 
 def _item_sets(size: int):
-    kinds = pa.schema([("item_id", pa.int64()), ("digest", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+    kinds = pa.schema([("item_id", pa.int64()), ("digest", pa.int64()), ("hashes", pa.list_(pa.int64())), ("n_short", pa.int32())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,7 +59,11 @@ def _item_sets(size: int):
                 sets = np.split(H.signed(flat), bounds[1:-1])
                 digest = [int(H.signed(H.mix(np.array([x.view(np.uint64).sum(), len(x)], np.uint64)))[0]) for x in sets]
                 ids = batch.column("item_id").slice(i, rows)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], schema=kinds)
+                words = [len(_WORD.findall(x)) for x in pc.utf8_lower(batch.column(TEXT).slice(i, rows)).to_pylist()]
+                short = [n if n < size else 0 for n in words]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(digest, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(short, pa.int32())], schema=kinds
+                )
 
     return emit
 
@@ -60,8 +72,8 @@ def item_sets(items: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFra
     """Staged distinct shingle sets of the items, and the ids of every set that more than one item has."""
     number = F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id")
     texts = items.select(number, F.coalesce(TEXT, F.lit("")).alias(TEXT))
-    sets = stage(texts.mapInArrow(_item_sets(size), "item_id long, digest long, hashes array<long>").filter(F.size("hashes") > 0), "sets")
-    same = sets.groupBy("digest", "hashes").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"))
+    sets = stage(texts.mapInArrow(_item_sets(size), "item_id long, digest long, hashes array<long>, n_short int").filter(F.size("hashes") > 0), "sets")
+    same = sets.groupBy("digest", "hashes", "n_short").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("n_items"))
     same = stage(same, "items")
     shared = sets.select("digest", "item_id").join(same.filter("n_items > 1").select("digest"), "digest", "left_semi")
     return same, stage(shared.distinct(), "members")
@@ -81,6 +93,8 @@ class Block:
     #: The hashes of all signatures, and which of their high bits occur.
     sketched: np.ndarray
     coarse: np.ndarray
+    #: The numbers of words of items shorter than a shingle.
+    shorter: tuple[int, ...]
 
 
 def least_shared(size: int, threshold: float) -> int:
@@ -105,8 +119,9 @@ def block_of(rows: list, threshold: float) -> Block:
     least = np.unique(flat[sketched])
     coarse = np.zeros(1 << _COARSE_BITS, bool)
     coarse[(least >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)] = True
+    shorter = tuple(sorted({r.n_short for r in rows} - {0}))
     ids, digests = (np.array([r[c] for r in rows], np.int64) for c in ("item_id", "digest"))
-    return Block(ids, digests, sizes, needed, hashes, np.append(first, len(flat)), item[order], least, coarse)
+    return Block(ids, digests, sizes, needed, hashes, np.append(first, len(flat)), item[order], least, coarse, shorter)
 
 
 def _among(sorted_hashes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +134,7 @@ def _contained(block, size: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b: Block = block.value
         for batch in batches:
-            for i, rows, found, row in lowered_shingles(batch.column(TEXT), size):
+            for i, rows, found, row in lowered_shingles(batch.column(TEXT), size, b.shorter):
                 # Signatures alone choose the documents; only theirs are compared in full.
                 near = np.flatnonzero(b.coarse[(found >> np.uint64(64 - _COARSE_BITS)).astype(np.int64)])
                 chosen = np.zeros(rows, bool)
@@ -169,7 +184,8 @@ def containments(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     """Rows (doc_id, key, item_id, n_shingles, n_shared, containment) of all items found in documents.
 
     Words are runs of letters and digits in lower case; an item or document with fewer
-    words than a shingle has all its words as one. An item without words is never found,
+    words than a shingle has all its words as one. Such an item is found wherever its
+    words follow each other, in longer documents too. An item without words is never found,
     a document without words has none. Items with equal shingle sets are searched for
     once and reported each; a null item_id is -1, and an item that is there twice under
     one id is one. Repeated documents are reported each. The items are the stated queries

@@ -290,11 +290,21 @@ def test_items_of_equal_text_are_each_found(docs, rows, spark):
 
 def test_signatures_choose_documents():
     sets = [np.sort(np.random.default_rng(n).integers(1, 1 << 62, 20)) for n in range(5)]
-    block = decontamination.block_of([Row(item_id=n, digest=n, hashes=x.tolist()) for n, x in enumerate(sets)], 0.8)
+    block = decontamination.block_of([Row(item_id=n, digest=n, hashes=x.tolist(), n_short=0) for n, x in enumerate(sets)], 0.8)
     # A match lacks 4 shingles of 20 at most, so five hashes of each set are searched for.
     assert sorted(block.sketched.tolist()) == sorted(h for x in sets for h in x[:5].tolist())
 
 
+def test_short_items_inside_long_documents(spark):
+    texts = ["one two three four five six seven", "Two, three!", "three two one", "two", "one two", "five six seven eight nine"]
+    items = [(1, "two three"), (2, "FIVE six seven"), (3, "two"), (4, "four five six seven"), (5, "seven one")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontamination.containments(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = Counter((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in found.collect())
+    pairs = [(0, 1), (0, 2), (0, 3), (0, 4), (1, 1), (1, 3), (2, 3), (3, 3), (4, 3), (5, 2)]
+    assert got == Counter((*x, 1, 1) for x in pairs)
+
+
 def test_chat_windows(spark):
     rng = random.Random(2)
     bits = ["<|im_end|>", "<|im_start|>", "&amp;", "&", "lt;|", "<", "|", "\xe9\U0001f600", "\n", "user\n", " ok "]
