@@ -122,7 +122,7 @@ def fit(
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Staged texts of at most ``rows`` labelled documents, taken by the hash of their key."""
+    """Staged texts of at most ``rows`` labelled documents, taken by the hash of their key; repeated rows are one."""
     marked = labels.select(F.col("doc_id").cast("long").alias(RANK), F.col("toxic").cast("int").alias("toxic")).dropna()
     marked = marked.groupBy(RANK).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64(RANK), RANK).limit(rows)
     keyed = identified(docs.select("doc_id", TEXT)).select(RANK, DIGEST, TEXT)
@@ -133,7 +133,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
         .orderBy(F.xxhash64(RANK, DIGEST), RANK, DIGEST)
         .limit(rows)
     )
-    found = keyed.join(F.broadcast(stage(chosen, "chosen")), [RANK, DIGEST])
+    found = keyed.join(F.broadcast(stage(chosen, "chosen")), [RANK, DIGEST]).dropDuplicates([RANK, DIGEST])
     return stage(found.select(TEXT, (F.col("toxic") > 0).cast("int").alias("toxic")), "labelled")
 
 

@@ -343,6 +343,15 @@ def test_toxicity_without_labels(docs, spark):
     assert {(r.severity, r.is_toxic) for r in found.collect()} == {(0.0, False)}
 
 
+def test_repeated_rows_are_sampled_once(spark):
+    texts = [(1, "bad words here")] * 50 + [(1, "other text")] + [(n, f"text {n}") for n in range(2, 6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(n, int(n == 1)) for n in range(1, 6)], "doc_id long, toxic int")
+    found = [(r.text, r.toxic) for r in toxicity.sample(docs, labels).collect()]
+    assert Counter(found) == Counter({(t, int(n == 1)) for n, t in texts})
+    assert toxicity.sample(docs, labels, 3).count() == 3
+
+
 def test_empty_tables(empty, spark):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
