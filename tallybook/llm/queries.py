@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import chat, decontamination, fertility, ngram_join, packing, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
+from tallybook.llm import centroids, chat, decontamination, fertility, ngram_join, packing, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
 from tallybook.llm.shared import KEY, stage, table
 from tallybook.workspace import new_path
 
@@ -76,3 +76,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_digests(table(spark, sf_dir, "embeddings"))

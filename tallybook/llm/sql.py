@@ -1,5 +1,48 @@
-"""The queries in DuckDB's SQL, where SQL can express them."""
+"""SQL beside the queries, written from the rules, where SQL can express one."""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+
+def _clusters(rounds: int = 10, clusters: int = 8) -> str:
+    """Every round is a pair of tables: each vector's nearest centroid, and the moved centroids."""
+    parts = [
+        """kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, p) - 1 AS cluster, p
+    FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, p FROM kept ORDER BY h, p LIMIT {clusters})
+)""",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(p) AS p, min(struct_pack(d := d, c := cluster)) AS best
+    FROM (
+        SELECT kept.r, kept.vec_id, kept.p, c.cluster,
+               CAST(list_sum(list_transform(list_zip(kept.p, c.p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM kept CROSS JOIN c{n} AS c
+    ) GROUP BY r
+)""")
+        if n < rounds:
+            parts.append(f"""c{n + 1} AS MATERIALIZED (
+    SELECT c.cluster, coalesce(moved.p, c.p) AS p
+    FROM c{n} AS c LEFT JOIN (
+        SELECT cluster, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY place) AS p
+        FROM (
+            SELECT best.c AS cluster, place, sum(x) AS total, count(*) AS n
+            FROM (SELECT best, unnest(p) AS x, generate_subscripts(p, 1) AS place FROM a{n})
+            GROUP BY best.c, place
+        ) GROUP BY cluster
+    ) AS moved USING (cluster)
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.p, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} AS c ON c.cluster = best.c"""
+
+
+SQL: dict[str, str] = {"op13_centroid_clusters": _clusters()}
