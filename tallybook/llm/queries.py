@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import centroids, chat, decontamination, fertility, ngram_join, packing, prefix_trie, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
+from tallybook.llm import byte_bpe, centroids, chat, decontamination, fertility, ngram_join, packing, prefix_trie, substring_dedup, suffix_dedup, token_counts, token_file, toxicity
 from tallybook.llm.shared import KEY, stage, table
 from tallybook.workspace import new_path
 
@@ -83,6 +83,11 @@ def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_digests(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
