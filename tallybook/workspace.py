@@ -63,6 +63,6 @@ def stage_with_index(df: DataFrame, order: list[Column], name: str, index: str =
     for number in range(max(sizes, default=-1) + 1):
         offsets.append(str(before))
         before += sizes.get(number, 0)
-    starts = F.split(F.lit(",".join(offsets)), ",").cast("array<bigint>")
+    starts = F.split(F.lit(",".join(offsets or ["0"])), ",").cast("array<bigint>")
     position = F.get(starts, part) + F.col("_metadata.row_index")
     return written.select(*df.columns, position.cast("bigint").alias(index))
