@@ -1,7 +1,9 @@
 """Plain answers for small tables, written from the rules alone."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,3 +123,59 @@ def near_duplicates(rows, size=4, percent=85):
     for x, (i, _) in enumerate(rows):
         least[find(x)] = min(least.get(find(x), 1 << 63), order(i))
     return [(i, len(sets[x]), least[find(x)]) for x, (i, _) in enumerate(rows)]
+
+
+def clusters(rows, size=64, clusters=8, rounds=10, scale=1024):
+    """rows: (vec_id, vector) -> bag of (vec_id, cluster, distance, cluster_inertia, inertia, centroid sha)."""
+    points = []
+    for i, v in rows:
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v):
+            points.append((i, [math.floor(scale * x) for x in v]))
+    key = lambda p: (sha(f"3:{'' if p[0] is None else p[0]}"), p[1])
+    centroids = [p for _, p in sorted(points, key=key)[:clusters]]
+    apart = lambda p, c: sum((x - y) ** 2 for x, y in zip(p, c, strict=True))
+    for n in range(rounds + 1):
+        best = [min((apart(p, c), k) for k, c in enumerate(centroids)) for _, p in points]
+        if n < rounds:
+            for k in range(len(centroids)):
+                mine = [p for (_, p), b in zip(points, best, strict=True) if b[1] == k]
+                if mine:
+                    centroids[k] = [sum(xs) // len(mine) for xs in zip(*mine, strict=True)]
+    part = defaultdict(int)
+    for d, k in best if points else []:
+        part[k] += d
+    whole = sum(part.values())
+    return [
+        (i, k, d, part[k], whole, sha(",".join(map(str, centroids[k]))))
+        for (i, _), (d, k) in zip(points, best if points else [], strict=True)
+    ]
+
+
+def trie(rows):
+    """rows: (conv_id, turn, role, text) -> list of (conv_id, depth, parent, n_convs, n_children, n_leaves, saved, ends sha)."""
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            by[c].append((t is not None, t or 0, r or "", x or ""))
+    turns = {c: [v[2:] for v in sorted(vs)] for c, vs in by.items()}
+    built = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = tuple(turns.get(c - int(math.fmod(c, 5)), [])[:h] + turns[c][h:])
+    members = defaultdict(list)
+    for c, ts in built.items():
+        for d in range(len(ts) + 1):
+            members[ts[:d]].append(c)
+    out = []
+    children = defaultdict(list)
+    for n in members:
+        if n:
+            children[n[:-1]].append(n)
+    leaves, saved = {}, {}
+    for n in sorted(members, key=len, reverse=True):
+        leaves[n] = sum(leaves[x] for x in children[n]) if children[n] else 1
+        saved[n] = sum(saved[x] for x in children[n]) + ((len(members[n]) - 1) * len(n[-1][1].encode()) if n else 0)
+        ends = ",".join(str(c) for c in sorted(members[n]) if built[c] == n)
+        parent = min(members[n[:-1]]) if n else None
+        out.append((min(members[n]), len(n), parent, len(members[n]), len(children[n]), leaves[n], saved[n], sha(ends)))
+    return out
