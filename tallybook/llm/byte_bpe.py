@@ -11,6 +11,7 @@ from it. Every id's byte offset is kept, so that decoding can place or pick ids
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
@@ -25,7 +26,7 @@ from tallybook.llm.vocabularies import vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces that one Python worker holds. When they are more, the cache starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 #: Texts are encoded together up to about this many bytes; a longer one makes a run of its own.
 RUN_BYTES = 1 << 20
 #: Longer pieces are merged one by one with a heap, the others all in step.
@@ -171,13 +172,50 @@ def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return heads[states >= BEGINS]
 
 
-class Ranks:
-    """Pair merging by ranks, with a cache of pieces whose ids lie in one growing array."""
+def long_text_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Places that cut texts into parts of RUN_BYTES or little more.
+
+    White space after a visible ASCII character begins a piece whatever comes before, and nothing
+    before it depends on what follows, so the parts' ids laid end to end are the text's.
+    """
+    cuts = []
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        place = low + RUN_BYTES
+        while place < high:
+            some = data[place - 1 : min(place + RUN_BYTES, high)]
+            fits = (some[1:] == 0x20) | (some[1:] == 0x0A)
+            fits &= (some[:-1] > 0x20) & (some[:-1] < 0x7F)
+            if fits.any():
+                place += int(np.argmax(fits))
+                cuts.append(place)
+            place += RUN_BYTES
+    return np.array(cuts, np.int64)
+
+
+class Strings:
+    """What decoding needs of a vocabulary: the strings end to end, in order of their ranks."""
 
     def __init__(self, path: str):
+        rank = self._read(path)
+        self.lengths = np.zeros(max(rank.values()) + 1, np.int64)
+        for text, number in rank.items():
+            self.lengths[number] = len(text)
+        self.text_starts = np.cumsum(self.lengths) - self.lengths
+        self.texts = np.frombuffer(b"".join(sorted(rank, key=rank.__getitem__)), np.uint8)
+
+    @staticmethod
+    def _read(path: str) -> dict[bytes, int]:
         with open(path, "rb") as file:
-            self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.size = max(self.rank.values()) + 1
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+
+
+class Ranks(Strings):
+    """Pair merging by ranks, with a cache of pieces whose ids lie in one growing array."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.rank = self._read(path)
+        self.size = len(self.lengths)
         self.single = np.array([self.rank[bytes([x])] for x in range(256)], np.int64)
         # All pairs of ranked strings whose concatenation is ranked.
         pairs = [
@@ -194,13 +232,6 @@ class Ranks:
         self.careful[left[whole < left]] = True
         self.careful[right[whole < right]] = True
         self._slots()
-        self.lengths = np.zeros(self.size, np.int64)
-        for text, number in self.rank.items():
-            self.lengths[number] = len(text)
-        ends = np.cumsum(self.lengths)
-        self.text_starts = ends - self.lengths
-        by_rank = sorted(self.rank.items(), key=lambda x: x[1])
-        self.texts = np.frombuffer(b"".join(text for text, _ in by_rank), np.uint8)
         self.clear()
 
     def _slots(self) -> None:
@@ -353,11 +384,22 @@ class Ranks:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and each text's first place among them (one more at the end)."""
+        cuts = np.union1d(bounds, long_text_cuts(data, bounds)) if len(data) > 2 * RUN_BYTES else bounds
+        if len(cuts) == len(np.unique(bounds)) or cuts is bounds:
+            return self._encode(data, bounds)
+        found, places = [], [np.zeros(1, np.int64)]
+        for i, j in H.chunks(cuts, RUN_BYTES):
+            ids, firsts = self._encode(data[cuts[i] : cuts[j]], cuts[i : j + 1] - cuts[i])
+            found.append(ids)
+            places.append(firsts[1:] + places[-1][-1])
+        return np.concatenate(found), np.concatenate(places)[np.searchsorted(cuts, bounds)]
+
+    def _encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = piece_starts(data, bounds)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(bounds), np.int64)
         ends = np.r_[starts[1:], len(data)]
-        numbers, heads = distinct_slices(data, starts, ends)
+        numbers, heads = H.distinct_slices(data, starts, ends)
         whole = data.tobytes()
         entries = self.entries([whole[a:b] for a, b in zip(starts[heads].tolist(), ends[heads].tolist(), strict=True)])
         mine = entries[numbers]
@@ -368,25 +410,9 @@ class Ranks:
         return self.ids[place], firsts
 
 
-def distinct_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every slice the number of its content, and for every number one slice that has it.
-
-    Slices are sorted by a hash; their bytes are then compared, so a clash of hashes cannot
-    pass for equality.
-    """
-    hashes = H.Hasher(H.byte_units(data)).ranges(starts, ends)
-    _, heads, numbers = np.unique(hashes, return_index=True, return_inverse=True)
-    length = ends - starts
-    same = length == length[heads][numbers]
-    if same.all():
-        offset = np.arange(len(data)) - np.repeat(starts, length)
-        same = data == data[np.repeat(starts[heads][numbers], length) + offset]
-    if not same.all():
-        whole = data.tobytes()
-        known: dict[bytes, int] = {}
-        numbers = np.array([known.setdefault(whole[a:b], len(known)) for a, b in zip(starts, ends, strict=True)])
-        _, heads = np.unique(numbers, return_index=True)
-    return numbers, heads
+@cache
+def strings(name: str) -> Strings:
+    return Strings(vocabulary_path(name))
 
 
 @cache
@@ -422,65 +448,81 @@ def encoded(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     pattern, without special tokens, whose strings are text like any other. A null text is
     empty and has no ids; rows are never joined or dropped, so repeated rows, null or equal
     ids and empty tables need no care; other columns are not looked at. A text of any
-    length is encoded whole, by one task, with some 60 bytes of memory for each of its own.
+    length is encoded whole, by one task, in parts of about RUN_BYTES that end where a
+    piece surely does; a piece (a run of letters, say) is never cut and needs some 150 bytes
+    of memory for each of its own beyond STEP_BYTES.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_encoder(name), "doc_id long, ids array<int>, offsets array<int>")
 
 
-def decoded_bytes(merger: Ranks, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def decoded_bytes(known: Strings, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The bytes of ids that begin at ``offsets`` of one output, which has no gaps but may start late."""
-    length = merger.lengths[ids]
+    length = known.lengths[ids]
     if not len(ids):
         return np.zeros(0, np.uint8)
     low = int(offsets[0])
     out = np.empty(int(offsets[-1] + length[-1]) - low, np.uint8)
     within = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-    out[np.repeat(offsets - low, length) + within] = merger.texts[np.repeat(merger.text_starts[ids], length) + within]
+    out[np.repeat(offsets - low, length) + within] = known.texts[np.repeat(known.text_starts[ids], length) + within]
     return out
 
 
+def _decoded_runs(batch: pa.RecordBatch, known: Strings):
+    """Rows i to j of a batch at a time: their ids, the first of each row, their bytes, and those' bounds."""
+    column, places = batch.column("ids"), batch.column("offsets")
+    ids, offsets = (x.flatten().to_numpy(zero_copy_only=False) for x in (column, places))
+    at = column.offsets.to_numpy().astype(np.int64)
+    at = at - at[0]
+    for i, j in H.chunks(at * 4, RUN_BYTES):
+        mine, first = ids[at[i] : at[j]], at[i : j + 1] - at[i]
+        bounds = np.r_[0, np.cumsum(known.lengths[mine])][first]
+        # Each text's own offsets, moved to where the text lies among those decoded together.
+        row = np.repeat(np.arange(j - i), np.diff(first))
+        yield i, j, mine, first, decoded_bytes(known, mine, offsets[at[i] : at[j]] + bounds[row]), bounds
+
+
 def _decoder(name: str):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = ranks(name)
+        known = strings(name)
         for batch in batches:
-            column, places = batch.column("ids"), batch.column("offsets")
-            ids, offsets = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in (column, places))
-            at = column.offsets.to_numpy().astype(np.int64)
-            at = at - at[0]
             others = batch.drop_columns(["ids", "offsets"])
-            for i, j in H.chunks(at * 4, RUN_BYTES):
-                mine = slice(at[i], at[j])
-                length = merger.lengths[ids[mine]]
-                sums = np.r_[0, np.cumsum(length)]
-                bounds = sums[at[i : j + 1] - at[i]]
-                # Each text's own offsets, moved to where the text lies among those decoded together.
-                row = np.repeat(np.arange(j - i), np.diff(at[i : j + 1]))
-                data = decoded_bytes(merger, ids[mine], offsets[mine] + bounds[row])
-                column = pa.Array.from_buffers(
-                    pa.large_binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
-                )
+            for i, j, _, _, data, bounds in _decoded_runs(batch, known):
+                buffers = [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
+                column = pa.Array.from_buffers(pa.large_binary(), j - i, buffers).cast(pa.binary())
                 kept = others.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, column.cast(pa.binary())], names=[*kept.schema.names, "decoded"]
-                )
+                yield pa.RecordBatch.from_arrays([*kept.columns, column], names=[*kept.schema.names, "decoded"])
 
     return emit
 
 
 def decoded(rows: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """``rows`` with the bytes of their ``ids`` in column ``decoded`` in place of ids and offsets."""
-    others = [f for f in rows.schema.fields if f.name not in ("ids", "offsets")]
+    others = [f for f in rows.schema.fields if f.name not in ("ids", "offsets", "decoded")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "decoded binary"])
     return rows.select(*[f.name for f in others], "ids", "offsets").mapInArrow(_decoder(name), schema)
 
 
+def _digests(name: str):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = strings(name)
+        decimal = list(map(str, range(len(known.lengths))))
+        for batch in batches:
+            for i, j, ids, first, data, bounds in _decoded_runs(batch, known):
+                said, back = [], []
+                for n in range(j - i):
+                    mine = ids[first[n] : first[n + 1]].tolist()
+                    said.append(hashlib.sha256(" ".join(map(decimal.__getitem__, mine)).encode()).hexdigest())
+                    back.append(hashlib.sha256(data[bounds[n] : bounds[n + 1]]).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(i, j - i), pa.array(np.diff(first)), pa.array(said), pa.array(back)],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return emit
+
+
 def round_trip(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
     """Per document: doc_id, n_tokens, the SHA-256 of its ids in decimal and of the decoded bytes."""
-    rows = encoded(docs, name).withColumns(
-        {
-            "n_tokens": F.size("ids").cast("long"),
-            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
-        }
-    )
-    return decoded(rows, name).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded(docs, name).mapInArrow(_digests(name), schema)

@@ -79,7 +79,7 @@ def test_cache_may_start_anew(monkeypatch):
 def test_equal_hashes_do_not_pass_for_equal_slices(monkeypatch):
     monkeypatch.setattr(H.Hasher, "ranges", lambda self, start, end: np.zeros(len(start), np.uint64))
     data = np.frombuffer(b"abcabcabd", np.uint8)
-    numbers, heads = byte_bpe.distinct_slices(data, np.array([0, 3, 6]), np.array([3, 6, 9]))
+    numbers, heads = H.distinct_slices(data, np.array([0, 3, 6]), np.array([3, 6, 9]))
     assert numbers.tolist() == [0, 0, 1] and heads.tolist() == [0, 2]
 
 
@@ -95,7 +95,7 @@ def test_scan_is_a_running_composition():
 
 
 def test_round_trip_of_a_table(spark):
-    texts = [*hostile_texts()[-20:], None, None, "same", "same", "é" * 400_000 + " x" * 500_000]
+    texts = [*hostile_texts()[-20:], None, None, "same", "same", "é" * 400_000 + " x" * 500_000, "word, é \n" * 500_000]
     rows = [(None if n == 5 else n // 2, t, "clash", [n]) for n, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, offsets array<int>").repartition(3)
     got = Counter(map(tuple, byte_bpe.round_trip(docs).collect()))
