@@ -727,8 +727,7 @@ def all_text_scan(spark, sf_dir):
 @query
 def row_position(spark, sf_dir):
     """Per file, whether its rows are numbered 1 to n without a gap."""
-    placed = delimited.with_row_position(_scan(spark, sf_dir))
-    per_file = placed.groupBy("source_path").agg(
+    per_file = _scan(spark, sf_dir).groupBy("source_path").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("row_number").alias("numbers"),
         F.min("row_number").alias("first"), F.max("row_number").alias("last"),
     )

@@ -10,7 +10,6 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +31,9 @@ from tallybook.plans.register import (
 )
 from tallybook.schemas import DATASET_RULES, HEADERS_SCHEMA
 from tallybook.sources import sinks
-from tallybook.sources.delimited import (
-    all_text_scan,
-    canonical_path,
-    format_audit,
-    header_layouts,
-    require_formats,
-    with_row_position,
-)
+from tallybook.sources.delimited import canonical_path, format_audit, header_names, one_header, require_formats, rows_of
 from tallybook.sources.manifest import source_manifest
+from tallybook.sources.records import numbered_records, staged_lines
 from tallybook.sources.reference_tables import canonical_fields
 from tallybook.workspace import stage, stage_with_index
 
@@ -70,13 +63,9 @@ def _one_format(audit: DataFrame, path: str) -> tuple[str, str]:
     return formats[0].encoding, formats[0].delimiter
 
 
-def _together(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _file_totals(manifest: DataFrame, scans: list[DataFrame], checked: DataFrame) -> DataFrame:
+def _file_totals(manifest: DataFrame, scan: DataFrame, checked: DataFrame) -> DataFrame:
     """The control total of every file; one without rows counts none."""
-    received = _together([scan.select(canonical_path("source_path").alias("source_path")) for scan in scans])
+    received = scan.select(canonical_path("source_path").alias("source_path"))
     total = V.control_total(received, checked, ("source_path",))
     files = manifest.select(F.col("path").alias("source_path"), F.col("filename").alias("source_file"), "byte_size")
     counts = ("rows_received", "rows_accepted", "rows_quarantined")
@@ -92,21 +81,17 @@ def _file_totals(manifest: DataFrame, scans: list[DataFrame], checked: DataFrame
 def _validated(
     spark: SparkSession,
     dataset: str,
-    scans: list[DataFrame],
+    scan: DataFrame,
     manifest: DataFrame,
     resolution: DataFrame,
     engagement: Engagement,
 ) -> DataFrame:
-    """Every row of one dataset's files with its parsed fields and failures. Written.
-
-    Files with one order of columns are one scan.
-    """
+    """Every row of one dataset's files with its parsed fields and failures. Written."""
     settled = resolution.where((F.col("dataset") == dataset) & (F.col("state") == "resolved"))
     # As many rows as the canonical schema has fields.
     mapping = {r.source_column: r.canonical_field for r in settled.collect()}
     digests = manifest.select(F.col("path").alias("source_path"), F.col("sha256").alias("source_sha256"))
-    numbered = _together([with_row_position(scan) for scan in scans])
-    numbered = numbered.withColumn("source_path", canonical_path("source_path")).join(digests, "source_path", "left")
+    numbered = scan.withColumn("source_path", canonical_path("source_path")).join(digests, "source_path", "left")
     kept = ("source_path", *V.SOURCE_COLUMNS)
     projected = canonical_projection(numbered, mapping, keep=kept)
     checked = V.check_rows(projected, DATASET_RULES[dataset], engagement.date_formats, kept)
@@ -141,21 +126,24 @@ def reconcile(
 
     scans, manifests, header_rows = {}, {}, []
     for dataset, path in paths.items():
+        lines = staged_lines(spark, path, engagement.delimiters)
         audit = stage(
-            format_audit(spark, path, engagement.encodings, engagement.delimiters), f"{dataset}-audit"
+            format_audit(spark, path, engagement.encodings, engagement.delimiters, lines), f"{dataset}-audit"
         )
         encoding, delimiter = _one_format(audit, path)
-        layouts = header_layouts(spark, path, encoding, delimiter)
-        header_rows += [(engagement.provider, dataset, h, i) for i, h in enumerate(layouts[0][0])]
-        scans[dataset] = [all_text_scan(spark, files, header, encoding, delimiter) for header, files in layouts]
+        numbered = numbered_records(lines, delimiter)
+        headers = header_names(numbered, encoding)
+        header = one_header(headers, path)
+        header_rows += [(engagement.provider, dataset, h, i) for i, h in enumerate(header)]
+        scans[dataset] = rows_of(numbered, headers, header, encoding)
         manifests[dataset] = stage(
             source_manifest(spark, path, engagement, audit).withColumn("dataset", F.lit(dataset)),
             f"{dataset}-manifest",
         )
 
-    headers = spark.createDataFrame(header_rows, HEADERS_SCHEMA)
+    columns = spark.createDataFrame(header_rows, HEADERS_SCHEMA)
     resolution = stage(
-        M.resolve_columns(headers, registry, synonyms, proposals, engagement.confidence_gate),
+        M.resolve_columns(columns, registry, synonyms, proposals, engagement.confidence_gate),
         "resolution",
     )
     keep["resolution"] = resolution
@@ -165,12 +153,12 @@ def reconcile(
         return outcome
 
     checked, totals, sources, population = {}, [], [], {}
-    for dataset, parts in scans.items():
+    for dataset, scan in scans.items():
         rules = DATASET_RULES[dataset]
         checked[dataset] = _validated(
-            spark, dataset, parts, manifests[dataset], resolution, engagement
+            spark, dataset, scan, manifests[dataset], resolution, engagement
         )
-        total = stage(_file_totals(manifests[dataset], parts, checked[dataset]), f"{dataset}-total")
+        total = stage(_file_totals(manifests[dataset], scan, checked[dataset]), f"{dataset}-total")
         V.assert_control_total(total)
         totals.append(total.drop("source_path", "byte_size"))
         sources.append(

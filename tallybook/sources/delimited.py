@@ -1,7 +1,8 @@
 """Delimited text as text: every cell arrives as a string or as missing.
 
-Spark splits the files and parses the lines. A blank cell is '', a cell a short row
-does not have is NULL, and a long row's surplus goes to ``__extra__``.
+Spark splits the files; records may hold quoted line breaks wherever the splits fall (see
+``records``). A blank cell is '', a cell a short row does not have is NULL, and a long
+row's surplus goes to ``__extra__``.
 """
 
 from __future__ import annotations
@@ -12,69 +13,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tallybook.errors import FormatDetectionError
+from tallybook.sources.records import Lines, Numbered, first_records, numbered_records, record_widths, records, staged_lines
 from tallybook.workspace import stage
 
-# Encodings that can be told from the bytes, and Spark's names for them.
-ENCODINGS = {"utf-8": "UTF-8", "utf8": "UTF-8", "latin-1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1", "ascii": "US-ASCII"}
+# Encodings that can be told from the bytes, and their common names.
+ENCODINGS = {
+    "utf-8": "UTF-8",
+    "utf8": "UTF-8",
+    "latin-1": "ISO-8859-1",
+    "iso-8859-1": "ISO-8859-1",
+    "ascii": "US-ASCII",
+    "cp1252": "windows-1252",
+    "windows-1252": "windows-1252",
+}
 
 CORRUPT = "_corrupt"
 
-#: More headers than this under one folder are an error: each one is a scan of its own.
-MAX_LAYOUTS = 100
 
+def _windows_1252() -> tuple[str, str, str]:
+    """The characters that differ from ISO-8859-1 there, what they stand for, and the bytes that stand for none."""
+    high = [bytes([x]) for x in range(0x80, 0xA0)]
+    meant = [(x.decode("latin-1"), x.decode("cp1252", "ignore")) for x in high]
+    return "".join(a for a, b in meant if b), "".join(b for _, b in meant), "".join(a for a, b in meant if not b)
 
-def header_of(spark: SparkSession, path: str, encoding: str, delimiter: str) -> list[str]:
-    """The column names on the first line of the file (or of a file of the folder)."""
-    first = spark.read.option("encoding", ENCODINGS[encoding.lower()]).text(path).first()
-    if first is None:
-        raise FormatDetectionError(f"{path} is empty")
-    return next(csv.reader([first.value.lstrip("﻿")], delimiter=delimiter))
-
-
-def header_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Per file its first line that is not blank: source_path and line. A file without one is missing.
-
-    The lines' places are found first, as numbers that combine on the map side, so that
-    no line but the headers leaves its task. Both scans split the files alike.
-    """
-    lines = (
-        spark.read.option("encoding", ENCODINGS[encoding.lower()])
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_at"),
-            F.col("value").alias("line"),
-        )
-        .where((F.col("_block") == 0) & (F.trim("line") != ""))
-    )
-    places = stage(lines.groupBy("source_path").agg(F.min("_at").alias("_at")), "header-places")
-    return lines.join(places, ["source_path", "_at"]).select("source_path", "line")
 
-
-def header_layouts(spark: SparkSession, path: str, encoding: str, delimiter: str) -> list[tuple[list[str], list[str]]]:
-    """Each order of columns that files under ``path`` have, with the paths of its files.
-
-    The files must have the same columns, in any order. Spark's readers pass over files
-    of no bytes; a folder of nothing else is refused. What comes to the driver is a file's path, as in any listing, and each distinct header once.
-    """
-    found = stage(header_lines(spark, path, encoding), "headers")
-    lines = [r.line for r in found.select("line").distinct().orderBy("line").limit(MAX_LAYOUTS + 1).collect()]
-    if not lines:
-        raise FormatDetectionError(f"{path} is empty")
-    if len(lines) > MAX_LAYOUTS:
-        raise FormatDetectionError(f"the files under {path} have more than {MAX_LAYOUTS} different headers")
-    layouts = []
-    for line in lines:
-        header = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter))
-        if layouts and sorted(header) != sorted(layouts[0][0]):
-            raise FormatDetectionError(f"the files under {path} do not have the same columns: {layouts[0][0]}, {header}")
-        paths = [path] if len(lines) == 1 else [r.source_path for r in found.where(F.col("line") == line).collect()]
-        layouts.append((header, paths))
-    return layouts
+def decoded(text: Column, encoding: str) -> Column:
+    """Bytes held in a string column, as text of an encoding the audit found to read them."""
+    name = ENCODINGS[encoding.lower()]
+    if name in ("UTF-8", "US-ASCII"):
+        return text
+    latin = F.decode(text.cast("binary"), "ISO-8859-1")
+    if name == "ISO-8859-1":
+        return latin
+    here, there, _ = _windows_1252()
+    return F.translate(latin, here, there)
 
 
 def canonical_path(column: str) -> Column:
@@ -87,111 +61,113 @@ def _outside_quotes(delimiter: str) -> str:
     return rf'{d}(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def _cells_of(line: Column, delimiter: str) -> Column:
-    """A line the reader called malformed, cut at unquoted delimiters."""
-    cells = F.split(line, _outside_quotes(delimiter))
+def _cells_of(record: Column, delimiter: str) -> Column:
+    """A record the parser called malformed, cut at unquoted delimiters."""
+    cells = F.split(record, _outside_quotes(delimiter))
     return F.transform(
         cells,
         lambda c: F.when(
-            c.rlike('^".*"$'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+            c.rlike('(?s)^".*"$'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
         ).otherwise(c),
     )
 
 
-def all_text_scan(
-    spark: SparkSession,
-    path: str | list[str],
-    header: Sequence[str],
-    encoding: str,
-    delimiter: str,
-    multi_line: bool = False,
-) -> DataFrame:
-    """Rows of the file, folder or listed files: ``header`` columns, ``__extra__`` and where each row lay.
+def _parsed(record: Column, width: int, delimiter: str) -> Column:
+    """A struct of ``width`` cells and, if the record has another number of them, the record itself."""
+    schema = ", ".join(f"{n} string" for n in [*(f"_c{i}" for i in range(width)), CORRUPT])
+    options = {
+        "sep": delimiter,
+        "quote": '"',
+        "escape": '"',
+        # Outside the alphabet of any ledger: no text stands for a missing cell.
+        "nullValue": "\u0000",
+        "emptyValue": "",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "mode": "PERMISSIVE",
+        "multiLine": "true",  # line breaks stay as they are
+    }
+    return F.from_csv(record, schema, options)
 
-    ``multi_line`` reads quoted line breaks, at the price of one task per file.
-    """
-    width = len(header)
-    names = [f"_c{i}" for i in range(width)]
-    schema = ", ".join(f"{n} string" for n in [*names, CORRUPT])
-    scanned = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            enforceSchema=True,
-            sep=delimiter,
-            encoding=ENCODINGS[encoding.lower()],
-            quote='"',
-            escape='"',
-            # Outside the alphabet of any ledger: no text stands for a missing cell.
-            nullValue="\u0000",
-            emptyValue="",
-            columnNameOfCorruptRecord=CORRUPT,
-            mode="PERMISSIVE",
-            multiLine=multi_line,
-        )
-        .csv(path)
-        .select(
-            *names,
-            CORRUPT,
-            F.col("_metadata.file_path").alias("source_path"),
-            F.col("_metadata.file_name").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_at"),
-        )
-    )
-    ragged = F.col(CORRUPT).isNotNull()
-    cut = scanned.withColumn("_cells", F.when(ragged, _cells_of(F.col(CORRUPT), delimiter)))
-    cells = [
-        F.when(ragged, F.get("_cells", F.lit(i))).otherwise(F.coalesce(name, F.lit(""))).alias(f"_v{i}")
-        for i, name in enumerate(names)
-    ]
-    extra = F.when(
-        ragged & (F.size("_cells") > width), F.slice("_cells", width + 1, F.greatest(F.size("_cells") - width, F.lit(1)))
-    )
-    wide = cut.select(*cells, extra.alias("__extra__"), "source_path", "source_file", "_block", "_at")
-    # Where a name repeats, the last column of that name is the one kept.
-    last = {name: i for i, name in enumerate(header)}
-    return wide.select(
-        *(F.col(f"_v{i}").alias(name) for name, i in last.items()),
-        "__extra__", "source_path", "source_file", "_block", "_at",
-    )
 
+def _names(record: Column, delimiter: str) -> Column:
+    return _cells_of(F.ltrim(record, F.lit("\ufeff")), delimiter)
 
-def with_row_position(rows: DataFrame) -> DataFrame:
-    """Number each file's rows from 1 in file order, without sorting them.
 
-    Rows of one block are read in order by one task, so a row's number is its place
-    in the block plus the rows of the file's earlier blocks. Only the per-block
-    counts go through a window; the rows meet them in an equi join.
+def header_names(found: Numbered, encoding: str) -> DataFrame:
+    """Staged: source_path and names, the cells of each file's first record."""
+    first = first_records(found)
+    return stage(first.select("source_path", _names(decoded(F.col("record"), encoding), found.delimiter).alias("names")), "headers")
+
+
+def one_header(headers: DataFrame, path: str | list[str]) -> list[str]:
+    """The header of the first file by path; all files must have its columns, in any order."""
+    first = headers.orderBy("source_path").first()
+    if first is None:
+        raise FormatDetectionError(f"{path} is empty")
+    names = list(first["names"])
+    other = headers.where(F.array_sort("names") != F.array_sort(F.lit(names))).first()
+    if other is not None:
+        raise FormatDetectionError(f"the files under {path} do not have the same columns: {names}, {list(other['names'])}")
+    return names
+
+
+def header_of(spark: SparkSession, path: str, encoding: str, delimiter: str) -> list[str]:
+    """The column names of the file, or of the first file of the folder."""
+    found = numbered_records(staged_lines(spark, path, [delimiter]), delimiter)
+    return one_header(header_names(found, encoding), path)
+
+
+def rows_of(found: Numbered, headers: DataFrame, header: Sequence[str], encoding: str) -> DataFrame:
+    """Rows after each file's header: ``header`` columns, ``__extra__``, source_path, source_file and row_number (from 1).
+
+    A file may order the columns its own way. Where a name repeats, the last column of that name is the one kept.
     """
-    counts = rows.groupBy("source_path", "_block").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first")
-    )
-    earlier = W.partitionBy("source_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        "source_path", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-    )
-    return (
-        rows.join(offsets, ["source_path", "_block"])
-        .withColumn("row_number", (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint"))
-        .drop("_before", "_first", "_at", "_block")
-    )
+    width = len(header)
+    ordered = headers.select("names").distinct().limit(2).collect()
+    same = all(list(r["names"]) == list(header) for r in ordered)
+    rows = records(found).where("record_number > 1").withColumn("record", decoded(F.col("record"), encoding))
+    parsed = rows.withColumn("_csv", _parsed(F.col("record"), width, found.delimiter))
+    ragged = F.col(f"_csv.{CORRUPT}").isNotNull()
+    regular = F.array(*[F.coalesce(f"_csv._c{i}", F.lit("")) for i in range(width)])
+    cells = parsed.withColumn("_cells", F.when(ragged, _cells_of(F.col("record"), found.delimiter)).otherwise(regular))
+    distinct = list(dict.fromkeys(header))
+    if same:
+        last = {name: i for i, name in enumerate(header)}
+        values = [F.get("_cells", F.lit(last[name])).alias(name) for name in distinct]
+    else:
+        # One place per column and file: as many rows as there are files.
+        places = [
+            (F.size("names") - F.array_position(F.reverse("names"), F.lit(name))).cast("int").alias(f"_p{i}")
+            for i, name in enumerate(distinct)
+        ]
+        cells = cells.join(headers.select("source_path", *places), "source_path")
+        values = [F.get("_cells", F.col(f"_p{i}")).alias(name) for i, name in enumerate(distinct)]
+    surplus = F.slice("_cells", width + 1, F.greatest(F.size("_cells") - width, F.lit(1)))
+    extra = F.when(F.size("_cells") > width, surplus).alias("__extra__")
+    number = (F.col("record_number") - 1).cast("bigint").alias("row_number")
+    return cells.select(*values, extra, "source_path", "source_file", number)
 
 
-def _width(line: Column, delimiter: str) -> Column:
-    """Fields on a line: unquoted delimiters plus one."""
-    d = re.escape(delimiter)
-    unquoted = F.regexp_replace(line, rf'(^|{d})"(?:[^"]|"")*"', "$1")
-    bare = F.when(line.contains('"'), unquoted).otherwise(line)
-    return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
+def all_text_scan(
+    spark: SparkSession, path: str | list[str], header: Sequence[str], encoding: str, delimiter: str, lines: Lines | None = None
+) -> DataFrame:
+    """Rows of the file, folder or listed files under ``header``; see ``rows_of``.
+
+    A quoted field may hold line breaks; files are split all the same. ``lines`` are the
+    file's written lines, if they have been read before.
+    """
+    found = numbered_records(lines or staged_lines(spark, path, [delimiter]), delimiter)
+    return rows_of(found, header_names(found, encoding), header, encoding)
 
 
 def format_audit(
-    spark: SparkSession, path: str, encodings: Sequence[str], delimiters: Sequence[str]
+    spark: SparkSession, path: str, encodings: Sequence[str], delimiters: Sequence[str], lines: Lines | None = None
 ) -> DataFrame:
     """Per file: the first encoding that reads all of it and the widest constant delimiter.
 
-    One pass over the lines of every file. A file no candidate reads has NULL there.
+    The width is that of records, so a quoted field may hold line breaks and delimiters.
+    ``lines`` counts records under the delimiter found (else lines). A file that no
+    candidate reads, and one of no bytes, has NULL there.
     """
     if not encodings:
         raise FormatDetectionError("no encodings are configured")
@@ -201,55 +177,67 @@ def format_audit(
     if unknown:
         raise FormatDetectionError(f"encodings that cannot be audited: {', '.join(unknown)}")
 
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("source_path"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.col("value").alias("line"),
-    )
-    # The text reader passes bytes through, so each line still shows what it was. No
-    # newline byte falls inside a UTF-8 character, so lines can be judged one by one.
-    utf8 = F.is_valid_utf8("line")
-    ascii_only = utf8 & (F.octet_length("line") == F.length("line"))
+    lines = lines or staged_lines(spark, path, delimiters)
+    # The reader passes bytes through, so each line still shows what it was. No line feed
+    # byte falls inside a character of these encodings, so lines can be judged one by one.
+    raw = F.col("line")
+    utf8 = F.is_valid_utf8(raw)
+    ascii_only = utf8 & (F.octet_length(raw) == F.length(raw))
+    gaps = F.decode(raw.cast("binary"), "ISO-8859-1").rlike("[" + _windows_1252()[2] + "]")
     reads = {
         "UTF-8": F.count_if(~utf8) == 0,
         "ISO-8859-1": F.lit(True),
         "US-ASCII": F.count_if(~ascii_only) == 0,
+        "windows-1252": F.count_if(gaps) == 0,
     }
-    populated = F.length("line") > 0
-    widths = {
-        d: F.when(populated, _width(F.make_valid_utf8("line"), d)) for d in delimiters
-    }
-    per_file = lines.groupBy("source_path", "source_file").agg(
-        F.count_if(populated).alias("lines"),
-        F.coalesce(
-            *(F.when(reads[ENCODINGS[e.lower()]], F.lit(e)) for e in encodings)
-        ).alias("encoding"),
-        F.array(
-            *(
-                F.struct(
-                    F.when(F.min(w) == F.max(w), F.min(w)).alias("width"),
-                    F.lit(-i).alias("earlier"),
-                    F.lit(d).alias("delimiter"),
-                )
-                for i, (d, w) in enumerate(widths.items())
-            )
-        ).alias("_candidates"),
-    )
-    best = F.array_max(F.filter("_candidates", lambda c: c["width"] >= 2))
-    return per_file.select(
+    first = F.coalesce(*(F.when(reads[ENCODINGS[e.lower()]], F.lit(e)) for e in encodings))
+    audit = lines.rows.groupBy("source_path", "source_file").agg(F.count_if(~F.col("blank")).alias("_lines"), first.alias("encoding"))
+    audit = stage(audit, "encodings")
+    for i, delimiter in enumerate(delimiters):
+        widths = record_widths(lines, delimiter)
+        found = F.struct(
+            F.when(F.col("least") == F.col("most"), F.col("most")).alias("width"),
+            F.lit(-i).alias("earlier"),
+            F.lit(delimiter).alias("delimiter"),
+            "records",
+        )
+        audit = audit.join(widths.select("source_path", found.alias(f"_d{i}")), "source_path", "left")
+    candidates = F.array(*(f"_d{i}" for i in range(len(delimiters))))
+    best = F.array_max(F.filter(candidates, lambda c: c["width"] >= 2))
+    judged = audit.select(
         "source_path",
         "source_file",
-        "lines",
+        F.coalesce(best["records"], F.col("_lines")).alias("lines"),
         "encoding",
         best["delimiter"].alias("delimiter"),
         best["width"].cast("bigint").alias("width"),
     )
+    return judged.unionByName(_empty_files(spark, path, judged))
+
+
+def _empty_files(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """Files of no bytes, which Spark's readers pass over; what comes to the driver is a folder's listing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    for status in system.globStatus(place) or []:
+        listed = system.listStatusIterator(status.getPath())
+        while listed.hasNext():
+            file = listed.next()
+            name = file.getPath().getName()
+            if file.isFile() and not file.getLen() and not name.startswith(("_", ".")):
+                rows.append((file.getPath().toString(), name))
+    listed = spark.createDataFrame(rows, "source_path string, source_file string").withColumn("lines", F.lit(0))
+    found = set(listed.columns)
+    return listed.select(*((F.col(f.name) if f.name in found else F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields))
 
 
 def require_formats(audit: DataFrame) -> None:
-    """Refuse files that no configured encoding or delimiter reads."""
-    bad = audit.where(F.col("encoding").isNull() | F.col("delimiter").isNull()).limit(20).collect()
-    if bad:
+    """Refuse files that no configured encoding or delimiter reads. At most 20 are named, all are counted."""
+    bad = audit.where(F.col("encoding").isNull() | F.col("delimiter").isNull())
+    named = bad.orderBy("source_file").limit(20).collect()
+    if named:
+        more = bad.count() - len(named)
         raise FormatDetectionError(
-            "no configured format reads " + ", ".join(sorted(r.source_file for r in bad))
+            "no configured format reads " + ", ".join(r.source_file for r in named) + (f" and {more} more" if more else "")
         )
