@@ -27,6 +27,11 @@ BROADCAST_TERMS = 20_000
 # Beyond it, each dataset's headers spread over this many salts.
 SALTS = 64
 
+# Similarity from which a key's nearest term is found through the index of segments.
+CLOSE = 0.9
+# Up to so many terms, comparing with all of them is cheaper than the index.
+FEW_TERMS = 300
+
 FILE = ("provider", "dataset")
 
 
@@ -129,14 +134,89 @@ def _term_rows(synonyms: DataFrame) -> DataFrame:
     )
 
 
+def _allowed(size: Column, ratio: float) -> Column:
+    """Most letters outside the common subsequence of two texts of this ratio, one of them this long."""
+    return F.floor(size * (2 * (1 - ratio) / ratio) + 1e-9)
+
+
+def _term_segments(terms: DataFrame, ratio: float) -> DataFrame:
+    """Each term cut into one segment more than letters may be lost: one of them is whole in any text of the ratio.
+
+    A letter outside the common subsequence, of either text, breaks one segment of the term at most.
+    """
+    size = F.length("term")
+    many = _allowed(size, ratio) + 1
+    number = F.explode(F.sequence(F.lit(0).cast("bigint"), many - 1))
+    cut = terms.select("dataset", "term_position", "term", size.alias("_n"), many.alias("_many"), number.alias("_i"))
+    start = F.floor(F.col("_i") * F.col("_n") / F.col("_many"))
+    end = F.floor((F.col("_i") + 1) * F.col("_n") / F.col("_many"))
+    return cut.withColumns({"_start": start, "_end": end}).select(
+        "dataset", "term_position", "_n", "_start",
+        F.substring("term", (F.col("_start") + 1).cast("int"), (F.col("_end") - F.col("_start")).cast("int")).alias("segment"),
+    )
+
+
+def _key_segments(keys: DataFrame, ratio: float) -> DataFrame:
+    """Every part of a key that is as long as a segment of a term in its length band can be."""
+    size = F.length("header_key")
+    band = F.sequence(F.ceil(size * ratio / (2 - ratio) - 1e-9), F.floor(size * (2 - ratio) / ratio + 1e-9))
+
+    def widths(n: Column) -> Column:
+        many = _allowed(n, ratio) + 1
+        return F.array(F.floor(n / many), F.ceil(n / many))
+
+    width = F.explode(F.array_distinct(F.flatten(F.transform(band, widths))))
+    wide = keys.select("dataset", "header_key", size.alias("_m"), width.alias("_width")).where(F.col("_width") <= F.col("_m"))
+    place = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - F.col("_width")))
+    return wide.select("dataset", "header_key", "_m", "_width", place.alias("_place")).select(
+        "dataset", "header_key", "_m", "_place",
+        F.substring("header_key", (F.col("_place") + 1).cast("int"), F.col("_width").cast("int")).alias("segment"),
+    )
+
+
+def close_pairs(keys: DataFrame, terms: DataFrame, ratio: float = CLOSE) -> DataFrame:
+    """(dataset, header_key, term_position) of every key and term whose similarity may reach ``ratio``.
+
+    An inverted index of the terms' segments: a key meets a term only where their lengths allow
+    the ratio and a segment lies in the key no farther from its place than letters may be lost.
+    """
+    # Written, so that the join can be split under a segment that many texts hold.
+    left = stage(_key_segments(keys, ratio), "key-segments")
+    right = stage(_term_segments(terms, ratio), "term-segments")
+    total = F.col("_m") + F.col("_n")
+    lost = total - 2 * F.ceil(total * ratio / 2 - 1e-9)
+    near = (F.abs(F.col("_m") - F.col("_n")) <= lost) & (F.abs(F.col("_place") - F.col("_start")) <= lost)
+    return left.join(right, ["dataset", "segment"]).where(near).select("dataset", "header_key", "term_position").distinct()
+
+
+def _close_terms(keys: DataFrame, terms: DataFrame) -> DataFrame:
+    """The nearest term of each key that has one of similarity CLOSE or more."""
+    masks = F.when(F.length("term").between(1, MASK_BITS), letter_masks(F.col("term")))
+    prepared = stage(terms.select("dataset", "term_position", "term", "field", masks.alias("masks")), "terms")
+    met = close_pairs(keys, prepared).join(prepared, ["dataset", "term_position"])
+    scored = met.withColumn("ratio", similarity(F.col("header_key"), F.col("term"), F.col("masks")))
+    best = F.max(F.struct("ratio", (-F.col("term_position")).alias("earlier"), "term", "field")).alias("best")
+    return scored.where(F.col("ratio") >= CLOSE).groupBy("dataset", "header_key").agg(best)
+
+
 def nearest_argmax(keys: DataFrame, synonyms: DataFrame) -> DataFrame:
     """The most similar synonym of each (dataset, header_key); first term wins ties.
 
-    Headers meet their dataset's terms as one array per row, so no pair is ever a
-    row of its own. Keys nothing resembles at all are left out.
+    Where there are many terms, keys first look for one of similarity CLOSE or more through
+    an index of the terms' segments, which misses none; only keys without one are compared with all
+    terms of their dataset, and then only with those whose length does not already keep them
+    below the best so far. Terms come as one array per row, so no such pair is ever a row of
+    its own. Keys nothing resembles at all are left out.
     """
+    n_terms = synonyms.count()
+    keys = keys.select("dataset", "header_key").distinct()
+    settled = None
+    if n_terms > FEW_TERMS:
+        keys = stage(keys, "keys")
+        settled = stage(_close_terms(keys, stage(synonym_terms(synonyms), "synonyms")), "close-terms")
+        keys = keys.join(settled.select("dataset", "header_key"), ["dataset", "header_key"], "left_anti")
     packed = _term_rows(synonyms)
-    if synonyms.count() <= BROADCAST_TERMS:
+    if n_terms <= BROADCAST_TERMS:
         met = keys.join(F.broadcast(packed), "dataset")
     else:
         salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
@@ -144,29 +224,32 @@ def nearest_argmax(keys: DataFrame, synonyms: DataFrame) -> DataFrame:
         met = keys.withColumn("_salt", F.pmod(F.xxhash64("header_key"), F.lit(SALTS)).cast("int")).join(
             spread, ["dataset", "_salt"]
         )
+    size = F.length("header_key")
 
-    def scored(t: Column) -> Column:
-        return F.struct(
+    def better(best: Column, t: Column) -> Column:
+        # No common subsequence is longer than the shorter text.
+        reach = F.when(size + F.length(t["term"]) == 0, F.lit(1.0)).otherwise(
+            2.0 * F.least(size, F.length(t["term"])) / (size + F.length(t["term"]))
+        )
+        scored = F.struct(
             similarity(F.col("header_key"), t["term"], t["masks"]).alias("ratio"),
-            (-t["term_position"]).alias("earlier"),
+            (-t["term_position"]).cast("bigint").alias("earlier"),
             t["term"].alias("term"),
             t["field"].alias("field"),
         )
+        return F.when(reach < best["ratio"], best).otherwise(F.greatest(best, scored))
 
-    best = F.array_max(F.transform("terms", scored))
-    return (
-        met.select("dataset", "header_key", best.alias("best"))
-        .groupBy("dataset", "header_key")
-        .agg(F.max("best").alias("best"))
-        .where(F.col("best.ratio") > 0)
-        .select(
-            "dataset",
-            "header_key",
-            F.col("best.ratio").alias("ratio"),
-            F.col("best.term").alias("term"),
-            F.col("best.field").alias("field"),
-        )
+    text = F.lit(None).cast("string")
+    none = F.struct(
+        F.lit(0.0).alias("ratio"), F.lit(-(1 << 62)).cast("bigint").alias("earlier"), text.alias("term"), text.alias("field")
     )
+    found = met.select("dataset", "header_key", F.aggregate("terms", none, better).alias("best"))
+    found = found.groupBy("dataset", "header_key").agg(F.max("best").alias("best")).where(F.col("best.ratio") > 0)
+    parts = [F.col(f"best.{c}").alias(c) for c in ("ratio", "term", "field")]
+    answers = found.select("dataset", "header_key", *parts)
+    if settled is not None:
+        answers = answers.unionByName(settled.select("dataset", "header_key", *parts))
+    return answers
 
 
 def tier2_fuzzy_nearest(headers: DataFrame, synonyms: DataFrame) -> DataFrame:

@@ -198,3 +198,54 @@ def test_approval(spark):
         A.approve(queue, reg, "now", ["Mystery"])
     with pytest.raises(ApprovalError, match="nothing was approved"):
         A.approve(queue.where("state = 'resolved'"), reg, "now")
+
+
+def edited(rng, text, edits):
+    letters = list(text)
+    for _ in range(edits):
+        place = rng.randrange(len(letters) + 1)
+        kind = rng.randrange(3)
+        if kind == 0:
+            letters.insert(place, rng.choice("abcdexyz "))
+        elif letters and kind == 1:
+            del letters[min(place, len(letters) - 1)]
+        elif letters:
+            letters[min(place, len(letters) - 1)] = rng.choice("abcdexyz ")
+    return "".join(letters)
+
+
+def test_index_of_segments_misses_no_nearest_term(spark, monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcde", k=rng.randint(1, 6)))
+    terms = sorted({" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(150)} | {"aaaaaaaa", "aaaa", "ab" * 40})
+    keys = sorted({edited(rng, rng.choice(terms), rng.randint(0, 6)) for _ in range(300)} | {"", "q", "aaaaaaa", "ab" * 41})
+    synonyms = spark.createDataFrame([("d", f"f{n}", t, n) for n, t in enumerate(terms)], "dataset string, field string, term string, term_position long")
+    headers = spark.createDataFrame([("d", k) for k in keys], "dataset string, header_key string")
+    normal = {r.term: r.term_position for r in M.synonym_terms(synonyms).collect()}
+    want = {}
+    for k in keys:
+        ratio, place, term = max((indel(k, t), -p, t) for t, p in normal.items())
+        if ratio > 0:
+            want[k] = (round(ratio, 12), term)
+    got = {}
+    for few in (0, 10**6):
+        monkeypatch.setattr(M, "FEW_TERMS", few)
+        rows = M.nearest_argmax(headers, synonyms).collect()
+        got[few] = {r.header_key: (round(r.ratio, 12), r.term) for r in rows}
+        assert len(rows) == len(got[few])
+    assert got[0] == want and got[10**6] == want
+    assert sum(r >= M.CLOSE for r, _ in want.values()) > 30
+
+
+def test_few_of_all_pairs_are_compared(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choices("abcdefghijklmnoprstuvw", weights=range(22, 0, -1), k=rng.randint(3, 8)))
+    words = [word() for _ in range(3000)]
+    terms = sorted({" ".join(rng.choices(words, k=3)) for _ in range(50_000)})
+    keys = sorted({edited(rng, rng.choice(terms), rng.randint(0, 2)) for _ in range(100_000)})
+    term_rows = spark.createDataFrame([("d", n, t) for n, t in enumerate(terms)], "dataset string, term_position long, term string")
+    key_rows = spark.createDataFrame([("d", k) for k in keys], "dataset string, header_key string")
+    pairs = M.close_pairs(key_rows, term_rows)
+    met = pairs.groupBy("header_key").count().agg({"count": "sum", "header_key": "count"}).first()
+    assert met["sum(count)"] < 0.002 * len(terms) * len(keys)
+    assert met["count(header_key)"] > 0.9 * len(keys)
