@@ -22,7 +22,7 @@ from tallybook.operators import report as R
 from tallybook.operators import totals as T
 from tallybook.operators import validate as V
 from tallybook.operators.projection import canonical_projection
-from tallybook.plans.register import control_summary, run_controls
+from tallybook.plans.register import all_findings, control_summary, register_places, run_controls
 from tallybook.schemas import DETAIL_RULES, REGISTER_COLUMNS
 from tallybook.sources import delimited, sinks
 from tallybook.sources.manifest import source_manifest
@@ -172,12 +172,11 @@ def run_controls_register(spark, sf_dir):
 
 @query
 def register_order(spark, sf_dir):
-    """The register with each finding's place in it, counted within its control."""
-    found = C.c1_journal_balance(L.detail(spark, sf_dir), E.tolerance, RUN).unionByName(
-        C.c5_rollforward(L.summary(spark, sf_dir), L.prior(spark, sf_dir), E.tolerance, RUN)
-    )
-    return found.orderBy("control_pos", "block", "sort_code", "sort_row").select(
-        "control_id", "control_pos", "block", "sort_code", "value"
+    """All findings with their place in the whole register."""
+    detail, summary, prior = L.detail(spark, sf_dir), L.summary(spark, sf_dir), L.prior(spark, sf_dir)
+    duplicates = D.dedupe_findings(D.described_groups(_candidates(spark, sf_dir)), E.tolerance, RUN)
+    return register_places(all_findings(detail, summary, E, prior, RUN, duplicates)).select(
+        "place", "control_id", "control_pos", "block", "sort_code", "value"
     )
 
 
@@ -403,20 +402,29 @@ def register_sink(spark, sf_dir):
 def run_log_sink(spark, sf_dir):
     findings = _findings(spark, sf_dir)
     lines, balances = L.detail(spark, sf_dir), L.summary(spark, sf_dir)
-    totals = V.control_total(X.dirty_text(spark, sf_dir), _checked(spark, sf_dir))
-    header = lines.limit(1).select(F.lit(RUN).alias("run_id"), F.lit(E.provider).alias("provider"))
+    checked = _checked(spark, sf_dir)
+    totals = V.control_total(X.dirty_text(spark, sf_dir), checked, ("source_file",)).select(
+        F.lit("gl").alias("dataset"), "source_file", "rows_received", "rows_accepted", "rows_quarantined"
+    )
+    # The headers of all providers stand for one run's: one entry per dataset.
+    figures = M.mapping_figures(_resolved(spark, sf_dir)).groupBy("dataset")
+    mapping = figures.agg(*(F.sum(c).alias(c) for c in ("tier1", "tier2", "tier3", "review", "mapped")))
+    header = spark.createDataFrame([(RUN, E.provider)], "run_id string, provider string")
     log = sinks.run_log(
-        header, _counters(spark, sf_dir), totals, M.mapping_figures(_resolved(spark, sf_dir)).limit(0),
+        header, _counters(spark, sf_dir), totals, mapping,
         control_summary(findings, lines, balances, L.prior(spark, sf_dir), RUN), R.by_control(findings),
     )
     path = new_path(spark, "run-log")
     sinks.write_run_log(log, path)
     back = spark.read.schema(log.schema).json(path)
+    kept = ("run_id", "provider", "counters.rows_received", "counters.exceptions", "control_total_holds")
     return back.select(
-        "run_id", "provider", "counters.rows_received", "counters.exceptions", "control_total_holds",
+        *kept,
         F.size("controls").cast("bigint").alias("controls"),
         F.size("exception_value_by_control").cast("bigint").alias("controls_with_findings"),
-    )
+        F.col("sources")[0]["rows_quarantined"].alias("quarantined"),
+        F.explode("mapping").alias("mapping"),
+    ).select("*", "mapping.*").drop("mapping")
 
 
 @query

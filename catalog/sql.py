@@ -209,6 +209,30 @@ DEDUPE_SUSPECTED = finding(
   || substr(digest, 1, 12)""",
     account="account_code", count="n",
 )
+
+
+def placed(control: int, source: str, value: str, code: str = "''", row: str = "0", block: int = 0) -> str:
+    """What orders a control's findings: its number, a block, a code and a row."""
+    name = ("C1", "C2", "C3", "C4", "C5", "C6", "DEDUPE")[control]
+    return f"""SELECT '{name}' AS control_id, {control} AS control_pos, {block} AS block, {code} AS sort_code,
+  CAST({row} AS BIGINT) AS sort_row, CAST({value} AS {M}) AS value FROM {source}"""
+
+
+PLACED = " UNION ALL ".join([
+    placed(0, C1_SOURCE, "abs(dr - cr)", "journal_id"),
+    placed(1, C2_SOURCE, "abs(derived - closing_balance)", "account_code"),
+    placed(2, "tb WHERE account_code NOT IN (SELECT account_code FROM gl)", "abs(closing_balance)", "account_code"),
+    placed(
+        2, """(SELECT account_code, SUM(debit - credit) AS moves FROM gl
+  WHERE account_code NOT IN (SELECT account_code FROM tb) GROUP BY account_code)""", "abs(moves)", "account_code", block=1,
+    ),
+    placed(3, OUTSIDE, "debit + credit", row="row_index"),
+    placed(4, BOTH_YEARS + " WHERE opening <> before", "abs(opening - before)", "account_code"),
+    placed(5, f"""(SELECT SUM(closing_balance) AS total FROM tb), (SELECT COUNT(*) AS broken FROM {BROKEN})
+WHERE total <> 0 OR broken > 0""", "abs(total)"),
+    placed(6, "exact_g", "(n - 1) * (debit + credit)", "'EXACT'", "first_row"),
+    placed(6, "suspected_g", "(n - 1) * (debit + credit)", "'SUSPECTED'", "first_row", block=1),
+])
 WITH = f"WITH {LEDGER}"
 FOUND = f"""{LEDGER}, {DUPLICATES},
 found AS (
@@ -232,7 +256,7 @@ CLEAN_TEXT = """entity, account_code, account_name, CAST(posting_date AS VARCHAR
   CAST(credit AS VARCHAR) AS credit, currency, source_system"""
 
 DIRTY = f"""{LEDGER},
-dirty AS (
+dirty AS MATERIALIZED (
   SELECT row_index + 1 AS row_number, journal_ AS journal_id, * EXCLUDE (journal_id, journal_, row_index)
   FROM (SELECT row_index, account_code, period, description, currency, source_system, journal_id,
     CASE WHEN row_index % 101 = 0 THEN '' WHEN row_index % 103 = 0 THEN NULL ELSE entity END AS entity,
@@ -252,13 +276,13 @@ dirty AS (
          ELSE CAST(debit AS VARCHAR) END AS debit,
     CASE WHEN row_index % 181 = 0 THEN NULL ELSE CAST(credit AS VARCHAR) END AS credit
   FROM gl)),
-read_ AS (
+read_ AS MATERIALIZED (
   SELECT *, TRY_CAST(debit AS DECIMAL(28,2)) AS dr, TRY_CAST(credit AS DECIMAL(28,2)) AS cr,
     COALESCE(TRY_STRPTIME(posting_date, '%Y-%m-%d'), TRY_STRPTIME(posting_date, '%d/%m/%Y'),
              TRY_STRPTIME(posting_date, '%d-%b-%Y'))::DATE AS day_,
     CASE WHEN regexp_full_match(trim(line_no), '[+-]?[0-9]+') THEN TRY_CAST(trim(line_no) AS BIGINT) END AS ln
   FROM dirty),
-broken AS (
+broken AS MATERIALIZED (
   SELECT row_number, 1 AS place, 'V-TYPE' AS rule_id, 'entity' AS field, 'Input should be a valid string' AS detail
   FROM read_ WHERE entity IS NULL
   UNION ALL SELECT row_number, 1, 'V-EMPTY', 'entity', 'String should have at least 1 character'
@@ -427,6 +451,12 @@ REG_COLUMNS = """provider, dataset, source_column, canonical_field, CAST(source_
 
 # ---- one text per query -------------------------------------------------------------
 
+MAPPED = f"""WITH {RESOLVED}
+  SELECT dataset, COUNT(*) FILTER (WHERE source_tier = 1) AS tier1, COUNT(*) FILTER (WHERE source_tier = 2) AS tier2,
+    COUNT(*) FILTER (WHERE source_tier = 3) AS tier3, COUNT(*) FILTER (WHERE state = 'review') AS review,
+    COUNT(*) FILTER (WHERE state = 'resolved') AS mapped FROM res GROUP BY dataset"""
+SPOILT_ROWS = f"WITH {DIRTY} SELECT COUNT(DISTINCT row_number) AS quarantined FROM broken"
+
 SQL: dict[str, str] = {
     "c1_journal_balance": f"{WITH} {C1}",
     "c1_ledger_crosscheck": f"""{WITH}
@@ -461,11 +491,8 @@ SELECT 'RUN' AS run_id, control_id, 'RUN' AS status,
   CAST(NULL AS VARCHAR) AS reason, CASE WHEN control_id = 'C1' THEN {C1_DETAIL} END AS detail
 FROM {CONTROLS}, {WHOLE}""",
     "run_controls": f"WITH {FOUND} SELECT * FROM found",
-    "register_order": f"""{WITH}
-SELECT 'C1' AS control_id, 0 AS control_pos, 0 AS block, journal_id AS sort_code,
-  CAST(abs(dr - cr) AS {M}) AS value FROM {C1_SOURCE}
-UNION ALL SELECT 'C5', 4, 0, account_code, CAST(abs(opening - before) AS {M}) FROM {BOTH_YEARS}
-WHERE opening <> before""",
+    "register_order": f"""WITH {LEDGER}, {DUPLICATES}, keyed AS ({PLACED})
+SELECT row_number() OVER (ORDER BY control_pos, block, sort_code, sort_row) AS place, * EXCLUDE (sort_row) FROM keyed""",
     "evidence": f"WITH {FOUND} SELECT control_id, evidence FROM found",
     "exact_key": f"{WITH} SELECT row_index, {EXACT_DIGEST} AS digest FROM gl",
     "suspected_key": f"{WITH} SELECT row_index, {SUSPECTED_DIGEST} AS digest FROM gl",
@@ -524,7 +551,7 @@ UNION ALL SELECT 'V-UNEXPECTED-FIELD', 'ccy', COUNT(*) FROM dirty""",
 SELECT 'ledger' AS source_file, row_number, entity, account_code, account_name,
   CAST(day_ AS VARCHAR) AS posting_date, period, journal_id, ln AS line_no, description, dr AS debit,
   cr AS credit, currency, source_system
-FROM read_ WHERE row_number NOT IN (SELECT row_number FROM broken)""",
+FROM read_ ANTI JOIN (SELECT DISTINCT row_number FROM broken) AS b USING (row_number)""",
     "quarantine_detail": f"""WITH {DIRTY}
 SELECT 'ledger' AS source_file, row_number, arg_min(rule_id, place) AS rule_id, arg_min(field, place) AS field,
   arg_min(detail, place) AS detail, string_agg(rule_id || ' ' || field, '; ' ORDER BY place) AS failures,
@@ -568,10 +595,11 @@ SELECT run_id, control_id, severity, entity, COALESCE(account_code, '') AS accou
   CAST(record_count AS VARCHAR) AS record_count,
   CASE WHEN above_materiality THEN 'true' ELSE 'false' END AS above_materiality, evidence, disposition
 FROM found""",
-    "run_log_sink": f"""WITH {FOUND}
-SELECT 'RUN' AS run_id, 'LINEITEM' AS provider, (SELECT COUNT(*) FROM gl) AS rows_received,
-  COUNT(*) AS exceptions, TRUE AS control_total_holds, CAST(7 AS BIGINT) AS controls,
-  COUNT(DISTINCT control_id) AS controls_with_findings FROM found""",
+    "run_log_sink": f"""WITH figures AS ({MAPPED}), quarantined AS ({SPOILT_ROWS}), run AS (WITH {FOUND}
+  SELECT 'RUN' AS run_id, 'LINEITEM' AS provider, (SELECT COUNT(*) FROM gl) AS rows_received,
+    COUNT(*) AS exceptions, TRUE AS control_total_holds, CAST(7 AS BIGINT) AS controls,
+    COUNT(DISTINCT control_id) AS controls_with_findings FROM found)
+SELECT run.*, quarantined.*, figures.* FROM run, quarantined, figures""",
     "register_vs_expected": f"""{WITH}, expected AS (
   SELECT 'C1' AS control_id, journal_id, CAST(CASE WHEN k % 499 = 1 THEN total ELSE 0 END
     + CASE WHEN k % 997 = 0 THEN 250 ELSE 0 END AS {M}) AS value FROM per_order

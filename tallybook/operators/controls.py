@@ -18,6 +18,7 @@ from tallybook.functions.grading import above_materiality, severity
 from tallybook.functions.text import money_text, plural, sentence
 from tallybook.operators.totals import journal_totals, zero
 from tallybook.schemas import CONTROL_POSITION, ORDER_COLUMNS, REGISTER_COLUMNS
+from tallybook.workspace import stage
 
 
 def as_findings(
@@ -81,7 +82,10 @@ def c1_journal_balance(
     detail: DataFrame, tolerance: Decimal, run_id: str = UNIDENTIFIED_RUN
 ) -> DataFrame:
     """One finding per journal whose debits and credits differ; always HIGH."""
-    unbalanced = journal_totals(detail).where(F.col("debits") != F.col("credits"))
+    totals = stage(journal_totals(detail).where(F.col("debits") != F.col("credits")), "unbalanced")
+    # A journal's entity is that of its first line, looked up for unbalanced journals alone.
+    firsts = detail.select(F.col("row_index").alias("first_row"), "entity")
+    unbalanced = totals.join(firsts, "first_row")
     difference = F.abs(F.col("debits") - F.col("credits"))
     return as_findings(
         unbalanced,
@@ -103,22 +107,29 @@ def c1_journal_balance(
 
 
 def c1_ledger_crosscheck(detail: DataFrame) -> DataFrame:
-    """The whole ledger's difference by two routes: over the lines, over the journals."""
-    whole = detail.agg(
-        F.coalesce(F.sum("debit"), zero()).cast("decimal(38,2)").alias("total_debits"),
-        F.coalesce(F.sum("credit"), zero()).cast("decimal(38,2)").alias("total_credits"),
-        F.count(F.lit(1)).alias("lines"),
+    """The whole ledger's difference by two routes: over the lines, over the journals.
+
+    One scan: grouping sets give the journals' rows and the grand total, and both are folded into one row.
+    """
+    levels = detail.rollup("journal_id").agg(
+        F.sum("debit").cast("decimal(38,2)").alias("debits"),
+        F.sum("credit").cast("decimal(38,2)").alias("credits"),
+        F.count(F.lit(1)).alias("n"),
+        F.grouping("journal_id").alias("level"),
     )
-    per_journal = (
-        detail.groupBy("journal_id")
-        .agg((F.sum("debit") - F.sum("credit")).cast("decimal(38,2)").alias("difference"))
-        .agg(
-            F.coalesce(F.sum("difference"), zero()).cast("decimal(38,2)").alias("journal_difference"),
-            F.count(F.lit(1)).alias("journals"),
-        )
+    whole = F.col("level") == 1
+    difference = (F.col("debits") - F.col("credits")).cast("decimal(38,2)")
+
+    def of_whole(column: str, empty: Column) -> Column:
+        return F.coalesce(F.max(F.when(whole, F.col(column))), empty)
+
+    both = levels.agg(
+        of_whole("debits", zero()).alias("total_debits"),
+        of_whole("credits", zero()).alias("total_credits"),
+        F.coalesce(F.sum(F.when(~whole, difference)), zero()).cast("decimal(38,2)").alias("journal_difference"),
+        of_whole("n", F.lit(0)).alias("lines"),
+        F.count_if(~whole).alias("journals"),
     )
-    # One row on each side.
-    both = whole.withColumn("_one", F.lit(1)).join(per_journal.withColumn("_one", F.lit(1)), "_one")
     ledger = (F.col("total_debits") - F.col("total_credits")).cast("decimal(38,2)")
     return both.select(
         "total_debits",

@@ -19,7 +19,7 @@ from tallybook.schemas import (
     ORDER_COLUMNS,
     REGISTER_COLUMNS,
 )
-from tallybook.workspace import stage
+from tallybook.workspace import stage, stage_with_index
 
 
 def has_rows(df: DataFrame | None) -> bool:
@@ -60,6 +60,12 @@ def register_order(findings: DataFrame) -> DataFrame:
     return findings.orderBy(*ORDER_COLUMNS).select(*REGISTER_COLUMNS)
 
 
+def register_places(findings: DataFrame) -> DataFrame:
+    """Findings with ``place``, their number (from 1) in reporting order, without a window over all of them."""
+    placed = stage_with_index(findings, [F.asc(c) for c in ORDER_COLUMNS], "register", "place")
+    return placed.withColumn("place", F.col("place") + 1)
+
+
 def control_summary(
     findings: DataFrame,
     detail: DataFrame,

@@ -38,6 +38,10 @@ class Lines:
 
     rows: DataFrame
     delimiters: tuple[str, ...]
+    #: One written row per block: its lines and, per delimiter, how many of them turn quotes and their cells.
+    blocks: DataFrame
+    #: Delimiters under which some block is not whole; the others need no look at single lines.
+    torn: frozenset[str]
 
     def judged(self, delimiter: str) -> DataFrame:
         """Lines with open_out, open_in (a quote is open after it, by state before) and cells_out, cells_in (its delimiters)."""
@@ -100,7 +104,30 @@ def staged_lines(spark: SparkSession, path: str | list[str], delimiters: Sequenc
     )
     shown = F.make_valid_utf8("line")
     functions = [_function(shown, d).alias(f"_f{i}") for i, d in enumerate(delimiters)]
-    return Lines(stage(rows.select("*", *functions), "lines"), tuple(delimiters))
+    lines = stage(rows.select("*", *functions), "lines")
+    full = ~F.col("blank")
+    blocks = lines.groupBy("source_path", "block", "block_key").agg(
+        F.min("at").alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("blank").alias("blanks"),
+        F.min(F.when(full, F.col("at"))).alias("lead"),
+        *(
+            F.struct(
+                F.count_if(F.col(f"_f{i}.open_out") | ~F.col(f"_f{i}.open_in")).alias("turns"),
+                F.min(F.when(full, F.col(f"_f{i}.cells_out"))).alias("least"),
+                F.max(F.when(full, F.col(f"_f{i}.cells_out"))).alias("most"),
+            ).alias(f"_f{i}")
+            for i in range(len(delimiters))
+        ),
+    )
+    blocks = stage(blocks, "blocks")
+    turned = blocks.agg(*(F.count_if((F.col(f"_f{i}.turns") > 0) | ~_blank_first()) for i in range(len(delimiters)))).first()
+    return Lines(lines, tuple(delimiters), blocks, frozenset(d for d, n in zip(delimiters, turned, strict=True) if n))
+
+
+def _blank_first() -> Column:
+    """Of a block's row: its blank lines all come before its others."""
+    return F.col("blanks") == F.coalesce(F.col("lead") - F.col("first"), F.col("n"))
 
 
 def _swaps() -> Column:
@@ -122,15 +149,14 @@ def staged_blocks(lines: Lines, delimiter: str) -> DataFrame:
     """One row per block: its lines, its first line that is not blank, whether it starts inside quotes, and
     whether it is ``whole``: each of its lines is a record of its own, but for blank ones before them.
     """
-    judged = lines.judged(delimiter).drop("line")
-    turning = F.col("open_out") | ~F.col("open_in")
-    counted = judged.groupBy("source_path", "block", "block_key").agg(
-        F.min("at").alias("first"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("blank").alias("blanks"),
-        F.min(F.when(~F.col("blank"), F.col("at"))).alias("lead"),
-        F.count_if(turning).alias("turns"),
+    counted = lines.blocks.select(
+        "source_path", "block", "block_key", "first", "n", "blanks", "lead", f"_f{lines.delimiters.index(delimiter)}.turns"
     )
+    kept = ("source_path", "block", "block_key", "n", "blanks", "lead", "starts_open")
+    if delimiter not in lines.torn:
+        return counted.withColumn("starts_open", F.lit(False)).select(*kept, F.lit(True).alias("whole"))
+    turning = F.col("open_out") | ~F.col("open_in")
+    judged = lines.judged(delimiter)
     composed = _composed(judged.where(turning).select("block_key", "at", "open_out", "open_in"), "block_key", "at")
     total = composed.groupBy("block_key").agg(F.max_by(F.struct("base", "swapped"), "at").alias("total"))
     after = {side: F.coalesce(F.col("total.base"), F.lit(opened)) != F.coalesce("total.swapped", F.lit(False)) for side, opened in (("open_out", False), ("open_in", True))}
@@ -141,9 +167,7 @@ def staged_blocks(lines: Lines, delimiter: str) -> DataFrame:
     started = over.withColumn("ends_open", state).withColumn(
         "starts_open", F.coalesce(F.lag("ends_open").over(whole_file), F.lit(False))
     )
-    leading = F.coalesce(F.col("lead") - F.col("first"), F.col("n"))
-    whole = ~F.col("starts_open") & (F.col("turns") == 0) & (F.col("blanks") == leading)
-    kept = ("source_path", "block", "block_key", "n", "blanks", "lead", "starts_open")
+    whole = ~F.col("starts_open") & (F.col("turns") == 0) & _blank_first()
     return stage(started.select(*kept, whole.alias("whole")), "blocks")
 
 
@@ -164,9 +188,12 @@ def _placed(lines: Lines, delimiter: str, blocks: DataFrame, columns: Sequence[s
     return stated.withColumn("number", number).where(F.col("inside") | ~F.col("blank")).drop("_after", "base", "swapped")
 
 
-def _offsets(blocks: DataFrame, placed: DataFrame) -> DataFrame:
+def _offsets(blocks: DataFrame, placed: DataFrame | None) -> DataFrame:
     """Staged: per block ``before``, the records that begin in earlier blocks of its file."""
-    torn = placed.groupBy("block_key").agg(F.max("number").alias("torn"))
+    if placed is None:
+        torn = blocks.limit(0).select("block_key", F.lit(0).cast("bigint").alias("torn"))
+    else:
+        torn = placed.groupBy("block_key").agg(F.max("number").alias("torn"))
     records = F.when(F.col("whole"), F.col("n") - F.col("blanks")).otherwise(F.coalesce("torn", F.lit(0)))
     earlier = W.partitionBy("source_path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("records").over(earlier), F.lit(0))
@@ -188,18 +215,29 @@ class Numbered:
 
     lines: Lines
     delimiter: str
-    placed: DataFrame
+    placed: DataFrame | None
     offsets: DataFrame
 
     @classmethod
     def of(cls, lines: Lines, delimiter: str, columns: Sequence[str]) -> Numbered:
         blocks = staged_blocks(lines, delimiter)
-        placed = stage(_placed(lines, delimiter, blocks, columns), "placed")
+        placed = stage(_placed(lines, delimiter, blocks, columns), "placed") if delimiter in lines.torn else None
         return cls(lines, delimiter, placed, _offsets(blocks, placed))
 
 
 def record_widths(lines: Lines, delimiter: str) -> DataFrame:
     """Per file the least and greatest number of cells of its records, and how many records it has."""
+    if delimiter not in lines.torn:  # a line, a record
+        cells = f"_f{lines.delimiters.index(delimiter)}"
+        return (
+            lines.blocks.where(F.col("n") > F.col("blanks"))
+            .groupBy("source_path")
+            .agg(
+                (F.min(f"{cells}.least") + 1).cast("int").alias("least"),
+                (F.max(f"{cells}.most") + 1).cast("int").alias("most"),
+                F.sum(F.col("n") - F.col("blanks")).alias("records"),
+            )
+        )
     found = Numbered.of(lines, delimiter, ("cells_out", "cells_in"))
     key = found.offsets.select("block_key", "whole", "before")
     plain = _beside(lines.judged(delimiter).select("source_path", "block_key", "blank", "cells_out"), key)
@@ -221,6 +259,8 @@ def numbered_records(lines: Lines, delimiter: str) -> Numbered:
     never closed, is an error that names the file: it must not be gathered.
     """
     found = Numbered.of(lines, delimiter, ("line", "n_bytes"))
+    if found.placed is None:
+        return found
     sizes = _torn_parts(found).groupBy("source_file", "source_path", "record_number").agg(
         F.sum(F.col("n_bytes") + 1).alias("size"), F.count(F.lit(1)).alias("n")
     )
@@ -243,14 +283,18 @@ def records(found: Numbered, last_block: int | None = None) -> DataFrame:
     """
     name = ("source_path", "source_file")
     slim = found.lines.judged(found.delimiter).select(*name, "block", "block_key", "at", "blank", "line")
-    parts = _torn_parts(found)
-    if last_block is not None:
-        slim, parts = (x.where(F.col("block") <= last_block) for x in (slim, parts))
+    near = F.lit(True) if last_block is None else F.col("block") <= last_block
+    slim = slim.where(near)
     plain = _beside(slim, found.offsets.select("block_key", "whole", "before", "lead")).where("whole and not blank")
     plain = plain.select(
         *name, (F.col("before") + F.col("at") - F.col("lead") + 1).alias("record_number"), F.col("line").alias("record")
     )
 
+    columns = (*name, "record_number", "record")
+    if found.placed is None:
+        return plain.withColumn("record", _without_return())
+    parts = _torn_parts(found).where(near)
+
     def joined(order: str, text: str) -> Column:
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n")
 
@@ -259,11 +303,14 @@ def records(found: Numbered, last_block: int | None = None) -> DataFrame:
     by_block = parts.withColumn("edge", edge).groupBy(*name, "block", "edge", "record_number").agg(joined("at", "line").alias("record"))
     pieces = stage(by_block, "pieces")
     torn = pieces.where("edge").groupBy(*name, "record_number").agg(joined("block", "record").alias("record"))
-    columns = (*name, "record_number", "record")
     every = plain.unionByName(pieces.where("not edge").select(*columns)).unionByName(torn.select(*columns))
-    # Bytes, not characters: the text has not been decoded yet.
+    return every.withColumn("record", _without_return())
+
+
+def _without_return() -> Column:
+    """A record without its last carriage return: bytes, not characters, as the text has not been decoded yet."""
     shorter = F.substring(F.col("record").cast("binary"), 1, F.octet_length("record") - 1).cast("string")
-    return every.withColumn("record", F.when(F.col("record").endswith("\r"), shorter).otherwise(F.col("record")))
+    return F.when(F.col("record").endswith("\r"), shorter).otherwise(F.col("record"))
 
 
 def first_records(found: Numbered) -> DataFrame:
