@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm import hashing as H
 from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, identified, stage, without
-from tallybook.llm.vocabularies import grouped, in_use, vocabulary_path
+from tallybook.llm.vocabularies import in_use, vocabulary_path
 
 #: The first one also measures byte fallback and token entropy.
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
@@ -21,10 +19,11 @@ VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.json")
 WIDTH = 4.0
 #: ... which count as this at least: a share of the median, and bits of entropy.
 LEAST_SHARE, LEAST_BITS = 0.01, 0.1
+#: Few texts say little about their language: with n of them a band is 1 + SMALL / n times as wide.
+SMALL = 20
 #: Byte fallback up to this share is never a reason to reject.
 FREE_FALLBACK = 0.05
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BLANK = " \t\n\v\f\r"
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -92,29 +91,15 @@ def _entropy(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.log2(n) - total / n
 
 
-def fertility(texts: list[str], names: tuple[str, ...]) -> dict[str, np.ndarray]:
-    """Per text and vocabulary: tokens; of the first one also byte-fallback tokens and entropy.
-
-    A word counts with the tokens it has on its own. The first vocabulary's measures
-    need ids; of the others only the numbers of tokens are asked for.
-    """
-    tokens = [np.zeros(len(texts), np.int64) for _ in names]
-    fallback, entropy, at = np.zeros(len(texts), np.int64), np.zeros(len(texts)), 0
-    for group in grouped(texts):
-        rows = slice(at, at + len(group))
-        words = [_WORD.findall(x) for x in group]
-        distinct = set(chain.from_iterable(words))
-        for n, known in enumerate(in_use(*names)):
-            known.learn(distinct)
-            take = known.cache.__getitem__
-            ids = [b"".join(map(take, x)) for x in words]
-            tokens[n][rows] = [len(x) // 4 for x in ids]
-            if not n:
-                flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
-                bounds = np.concatenate([[0], np.cumsum(tokens[0][rows])])
-                fallback[rows] = _per_row(known.fallback()[flat], bounds)
-                entropy[rows] = _entropy(flat, bounds)
-        at += len(group)
+def fertility(texts: pa.Array, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """Per whole text and vocabulary: tokens; of the first one also byte-fallback tokens and entropy."""
+    tokens = []
+    for n, known in enumerate(in_use(*names)):
+        ids, firsts = known.encode_column(texts)
+        tokens.append(np.diff(firsts))
+        if not n:
+            fallback = _per_row(known.fallback()[ids], firsts)
+            entropy = _entropy(ids.astype(np.int64), firsts)
     return {"tokens": tokens, "fallback": fallback, "entropy": entropy}
 
 
@@ -124,7 +109,7 @@ def _measured(names: tuple[str, ...]):
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)
                 base = base_figures(some.column(TEXT))
-                found = fertility(some.column(TEXT).to_pylist(), names)
+                found = fertility(some.column(TEXT), names)
                 n = [np.maximum(x, 1) for x in found["tokens"]]
                 thousandths = [
                     1000 * base["word_chars"] / n[0],
@@ -166,10 +151,10 @@ def bands(figures: DataFrame) -> DataFrame:
     """Staged limits in thousandths: one row per language, with a low and a high of every measure."""
     values = distinct_texts(figures).select("_llm_lang", F.expr(f"stack({len(MEASURES)}, {_STACKED}) as (measure, value)"))
     counts = values.groupBy("_llm_lang", "measure", "value").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = counts.groupBy("_llm_lang", "measure").agg(F.expr("percentile(value, array(0.25D, 0.5D, 0.75D), n)").alias("q"))
+    quartiles = counts.groupBy("_llm_lang", "measure").agg(F.expr("percentile(value, array(0.25D, 0.5D, 0.75D), n)").alias("q"), F.sum("n").alias("texts"))
     low, middle, high = (F.col("q")[i] for i in range(3))
     least = F.when(F.col("measure") == "entropy", 1000 * LEAST_BITS).otherwise(LEAST_SHARE * middle)
-    spread = WIDTH * F.greatest((high - low) / 1.349, least)
+    spread = WIDTH * (1 + SMALL / F.col("texts")) * F.greatest((high - low) / 1.349, least)
     limits = quartiles.select("_llm_lang", "measure", (middle - spread).alias("low"), (middle + spread).alias("high"))
     sides = []
     for measure in MEASURES:
@@ -196,11 +181,11 @@ def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: st
     """Per document: its base figures, the measures, base_failed and kept.
 
     Measures: characters per token under each vocabulary, the share of tokens that are
-    single bytes for want of a better one, and the entropy of the tokens; words are
-    separated by space and the characters from tab to carriage return, and encoded one by
-    one. A document that passes the base rules is rejected if a measure lies outside its
+    single bytes for want of a better one (line breaks and tabs aside), and the entropy of
+    the tokens, of the whole text; its characters are those of words, which are separated
+    by space and the characters from tab to carriage return. A document that passes the base rules is rejected if a measure lies outside its
     language's band: the median of all distinct passing texts of the language, and so many
-    robust standard deviations to either side (byte share: above only; entropy: below
+    robust standard deviations to either side, more with few texts (byte share: above only; entropy: below
     only). Medians and quartiles are exact, over counts of values in thousandths; a text
     counts once for its language, however many copies there are. Every language has bands
     of its own, whatever their number.

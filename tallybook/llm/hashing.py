@@ -107,6 +107,28 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, gap: np.ndarray = GAP):
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def distinct_slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every slice the number of its content, and for every number one slice that has it.
+
+    Slices are sorted by a hash; their bytes are then compared, so a clash of hashes cannot
+    pass for equality.
+    """
+    hashes = Hasher(byte_units(data)).ranges(starts, ends)
+    _, heads, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+    length = ends - starts
+    same = length == length[heads][numbers]
+    if same.all():
+        before = np.cumsum(length) - length
+        within = np.arange(int(length.sum()))
+        same = data[within + np.repeat(starts - before, length)] == data[within + np.repeat(starts[heads][numbers] - before, length)]
+    if not same.all():
+        whole = data.tobytes()
+        known: dict[bytes, int] = {}
+        numbers = np.array([known.setdefault(whole[a:b], len(known)) for a, b in zip(starts, ends, strict=True)])
+        _, heads = np.unique(numbers, return_index=True)
+    return numbers, heads
+
+
 def words(data: np.ndarray, bounds: np.ndarray, fold: np.ndarray = IDENTITY, gap: np.ndarray = GAP):
     """Hash, start and end of every word, and the first word of every row."""
     folded = fold[data] if fold is not IDENTITY else data

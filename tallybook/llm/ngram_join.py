@@ -35,6 +35,7 @@ from tallybook.llm.shared import (
     task_filter,
     without,
 )
+from tallybook.llm.vocabularies import in_use
 
 #: The suffix filter parts n-grams by hash into so many parts, 64 to a column.
 _PARTS = 2048
@@ -99,6 +100,7 @@ def _sketches(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _nodes(size: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             for i, flat, bounds, node in _sets(batch, size):
                 kept = [batch.column(c).slice(i, len(node)) for c in ("doc_id", *KEY)]
@@ -129,6 +131,7 @@ def _prefixes(size: int, percent: int, frequency):
 
 def _prefix_tokens(prefixes):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             for _, node, _, row, token, _ in prefixes(batch):
                 yield pa.RecordBatch.from_pydict({"token": H.signed(token), "node": H.signed(node[row])})
@@ -138,6 +141,7 @@ def _prefix_tokens(prefixes):
 
 def _entries(prefixes, wanted):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             for _, node, n, row, token, place in prefixes(batch):
                 hit = passes(wanted.value, token)
@@ -208,6 +212,7 @@ def remaining_pairs(entries: DataFrame, sketches: DataFrame, percent: int) -> Da
 
 def _verified(size: int, percent: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             sides = []
             for name in ("text_a", "text_b"):

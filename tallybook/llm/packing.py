@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallybook.llm.shared import TEXT, stage
-from tallybook.llm.vocabularies import in_use, vocabulary_path
+from tallybook.llm.vocabularies import id_bytes, in_use, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
@@ -88,32 +88,34 @@ def _tightest_pair(left: np.ndarray, taken: dict[int, int], above: int, most: in
     return max(a, b), min(a, b)
 
 
-def _pieces(name: str, end: bytes, capacity: int):
-    width = 4 * capacity
-
+def _pieces(name: str, end_id: int, capacity: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, known = TaskContext.get().partitionId(), in_use(name)[0]
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)
-                ids = [x + end for x in known.encode(some.column(TEXT).to_pylist())]
-                rows = np.repeat(np.arange(len(ids)), [-(-len(x) // width) for x in ids])
-                piece = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                cut = [ids[r][p * width : (p + 1) * width] for r, p in zip(rows.tolist(), piece.tolist(), strict=True)]
-                length = np.array([len(x) // 4 for x in cut], np.int64)
-                rank = np.empty(len(cut), np.int64)
-                for n, x in enumerate(length.tolist()):
-                    rank[n] = seen[x]
-                    seen[x] += 1
+                ids, firsts = known.encode_ended(some.column(TEXT), end_id)
+                many = -(-np.diff(firsts) // capacity)
+                rows = np.repeat(np.arange(len(many)), many)
+                piece = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many)
+                edges = np.r_[firsts[rows] + piece * capacity, len(ids)]
+                length = np.diff(edges)
+                # the piece's number among those of its length in this task
+                order = np.argsort(length, kind="stable")
+                count = np.bincount(length, minlength=capacity + 1)
+                heads = np.cumsum(count) - count
+                rank = np.empty(len(length), np.int64)
+                rank[order] = np.arange(len(length)) - heads[length[order]] + seen[length[order]]
+                seen += count
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column("doc_id").take(pa.array(rows)),
                         pa.array(piece.astype(np.int32)),
                         pa.array(piece * capacity),
                         pa.array(length),
-                        pa.array(cut, pa.binary()),
-                        pa.array(np.full(len(cut), part, np.int64)),
+                        id_bytes(ids, edges),
+                        pa.array(np.full(len(rows), part, np.int64)),
                         pa.array(rank),
                     ],
                     names=["doc_id", "piece", "start", "length", "ids", "part", "rank"],
@@ -125,9 +127,8 @@ def _pieces(name: str, end: bytes, capacity: int):
 def pieces(docs: DataFrame, name: str = VOCABULARY, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """Staged pieces with their ids; ``rank`` numbers a task's pieces of one length, ``part`` is the task."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(TEXT, F.lit("")).alias(TEXT))
-    end = np.array([end_id], "<u4").tobytes()
     schema = "doc_id long, piece int, start long, length long, ids binary, part long, rank long"
-    return stage(texts.mapInArrow(_pieces(vocabulary_path(name), end, capacity), schema), "pieces")
+    return stage(texts.mapInArrow(_pieces(vocabulary_path(name), end_id, capacity), schema), "pieces")
 
 
 def _places(plan: list[tuple[int, list[int]]], capacity: int):

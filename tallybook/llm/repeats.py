@@ -39,6 +39,7 @@ from tallybook.llm.shared import (
     stage,
     task_filter,
 )
+from tallybook.llm.vocabularies import in_use
 
 #: units of a run of texts: hashes of the units and the first unit of every row
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -124,6 +125,7 @@ def _text_runs(batch: pa.RecordBatch, rule: Rule):
 
 def _anchors(rule: Rule):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             ids = batch.column(RANK).to_numpy(zero_copy_only=False)
             for i, _, _, (row, _, _, anchor) in _text_runs(batch, rule):
@@ -140,6 +142,7 @@ def anchor_counts(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def _candidates(rule: Rule, wanted):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             ids, digests = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)
             for i, hasher, first, (row, start, last, anchor) in _text_runs(batch, rule):
@@ -179,6 +182,7 @@ def classified(candidates: DataFrame, rule: Rule) -> DataFrame:
 
 def _windows(rule: Rule):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_use()
         for batch in batches:
             data, bounds = H.text_bytes(batch.column(TEXT))
             ids, digests = (batch.column(c).to_numpy(zero_copy_only=False) for c in KEY)

@@ -1,4 +1,4 @@
-"""Substring dedup by level-wise doubling over words."""
+"""Repeated word windows, found by grouping them under anchors (see ``repeats``), in one step from half the length."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ WORDS = 50
 
 
 def rule(words: int = WORDS) -> Rule:
-    """Level one has windows of half the words, level two of all of them."""
+    """An anchor is a window of half the words."""
     return Rule(size=words, anchor=max(1, words // 2), units=words_as_units, earlier_id=True)
 
 
@@ -26,11 +26,9 @@ def repeated_words(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` and ``_llm_spans``, the word ranges that windows of ``words`` words cover
     whose words also start in a document with a smaller doc_id.
 
-    Levels: the windows of half the length that stand for a full window (the least-hashed
-    one in it) are counted; only those found in two documents are extended to twice the
-    length, and these survive if they are found in two documents again. A full window can
-    repeat only if its half-length one does, so nothing is lost. The target length ends
-    the doubling; where no half-length window survives, it ends before.
+    The window of half the length that stands for a full window (the least-hashed one in
+    it) is its anchor. Only windows whose anchor is found in two documents are compared in
+    full. A full window can repeat only if its anchor does, so nothing is lost.
 
     Words are separated by space and the characters from tab to carriage return and are
     compared unchanged. A null text has no words; a null doc_id counts as greater than

@@ -1,4 +1,4 @@
-"""Suffix-array dedup over bytes by a depth-limited radix sort."""
+"""Repeated byte strings, found by grouping windows under anchors (see ``repeats``); no suffix is ordered."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ BYTES = 400
 
 
 def rule(size: int = BYTES) -> Rule:
-    """The first digit takes three quarters of the depth, so that few suffixes share one by chance."""
+    """An anchor is three quarters as long as a window, so that few windows share one by chance."""
     return Rule(size=size, anchor=max(1, size * 3 // 4), units=bytes_as_units, earlier_id=False)
 
 
@@ -26,14 +26,10 @@ def repeated_bytes(docs: DataFrame, size: int = BYTES) -> DataFrame:
     """``docs`` and ``_llm_spans``, the byte ranges covered by strings of ``size`` UTF-8
     bytes that also start anywhere else, in the same document or another.
 
-    Suffixes are ordered through their first ``size`` bytes only, most significant digit
-    first; digits are hashed, so groups and not their order are meaningful, and suffixes
-    alone in their group drop out after each pass. Digit one is the least-hashed part of
-    three quarters of the depth within those bytes (its anchor), digit two all bytes of
-    the stretch of neighbouring suffixes that share the anchor, which settles whole
-    stretches at once, and digit three the ``size`` bytes themselves, for one stretch of
-    each kind where stretches differ. Equal groups after the last digit are exactly the
-    repeated strings, up to a clash of two 64-bit hashes at once.
+    Windows are grouped by their anchor, the least-hashed part of three quarters of their
+    length; stretches of neighbouring windows under one anchor are compared as a whole, and
+    single windows only for one stretch of each kind where stretches differ. Equal groups
+    are exactly the repeated strings, up to a clash of two 64-bit hashes at once.
 
     A null text is empty. Rows that agree in doc_id and text are two places. An empty
     table gives an empty one. Other columns are kept. A text is one unit of work in

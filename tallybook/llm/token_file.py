@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from tallybook.llm import huffman
 from tallybook.llm.shared import DIGEST, RANK, TEXT, identified, stage
-from tallybook.llm.vocabularies import in_use, vocabulary_path
+from tallybook.llm.vocabularies import id_bytes, in_use, vocabulary_path
 from tallybook.workspace import new_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -30,14 +30,14 @@ _SEGMENTS = (
 )
 
 
-def _encoded(name: str, end: bytes):
+def _encoded(name: str, end_id: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, before, known = TaskContext.get().partitionId(), 0, 0, in_use(name)[0]
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)
-                ids = [x + end for x in known.encode(some.column(TEXT).to_pylist())]
-                rows, sizes = len(ids), np.array([len(x) // 4 for x in ids], np.int64)
+                ids, firsts = known.encode_ended(some.column(TEXT), end_id)
+                rows, sizes = some.num_rows, np.diff(firsts)
                 ends = before + np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -46,7 +46,7 @@ def _encoded(name: str, end: bytes):
                         pa.array(ends - sizes),
                         some.column("doc_id"),
                         pa.array(sizes),
-                        pa.array(ids, pa.binary()),
+                        id_bytes(ids, firsts),
                     ],
                     names=["part", "place", "before", "doc_id", "n_tokens", "ids"],
                 )
@@ -60,14 +60,13 @@ def encoded_in_order(docs: DataFrame, name: str = VOCABULARY, end_id: int = END_
 
     ``part`` is the range a document is in, ``place`` and ``before`` the documents and ids before it there.
     """
-    end = np.array([end_id], "<u4").tobytes()
     ordered = (
         identified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), TEXT))
         .repartitionByRange(RANK, DIGEST)
         .sortWithinPartitions(RANK, DIGEST)
     )
     schema = "part long, place long, before long, doc_id long, n_tokens long, ids binary"
-    return stage(ordered.select("doc_id", TEXT).mapInArrow(_encoded(vocabulary_path(name), end), schema), "ids")
+    return stage(ordered.select("doc_id", TEXT).mapInArrow(_encoded(vocabulary_path(name), end_id), schema), "ids")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

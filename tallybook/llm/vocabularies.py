@@ -2,31 +2,85 @@
 
 A text is cut before white space, and where an ASCII letter meets a stop or comma: no
 token and no rule of these vocabularies reaches across such a place, so the parts' ids
-laid end to end are the text's ids. Each distinct part is encoded once by the tokenizers
-library for as long as the cache holds it.
+laid end to end are the text's ids. Parts are found and told apart by whole arrays, and
+each distinct one is encoded once by the tokenizers library for as long as the cache
+holds it.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 
-#: Parts that one Python worker holds, of all vocabularies in use (about 220 bytes each). When they
+from tallybook.llm import hashing as H
+
+#: Parts that one Python worker holds of each vocabulary in use (about 180 bytes each). When they
 #: are too many, half stay: the first ones met, so mostly the frequent ones.
-CACHE_PARTS = 400_000
-#: Texts looked at together are at most this long in sum, or one text.
-GROUP_CHARS = 1 << 20
-
-#: Unicode's White_Space, which is what the libraries' patterns call white space.
-_SPACE = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-#: A part ends before white space, and before a stop or comma after an ASCII letter.
-_PART = f"(?:[^{_SPACE}.,]+(?:(?<![A-Za-z])[.,][^{_SPACE}]*)?|[.,][^{_SPACE}]*)"
-#: Parts with the white space before them, and parts alone where a vocabulary drops it.
-SPACED = re.compile(f"[{_SPACE}]*{_PART}|[{_SPACE}]+")
-BARE = re.compile(_PART)
+CACHE_PARTS = 250_000
+#: Texts are looked at together up to about this many bytes; a longer one makes a run of its own.
+RUN_BYTES = 1 << 20
+#: Parts that the library encodes in one call; longer texts of more parts cost it more for each.
+BATCH = 256
+#: The last byte of white space outside ASCII, by the bytes before it (Unicode's White_Space).
+_WIDE_SPACE = {
+    (0xC2,): (0x85, 0xA0),
+    (0xE1, 0x9A): (0x80,),
+    (0xE2, 0x80): (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF),
+    (0xE2, 0x81): (0x9F,),
+    (0xE3, 0x80): (0x80,),
+}
+#: U+2581, which piece vocabularies take for a blank.
+_BLANK_SIGN = {(0xE2, 0x96): (0x81,)}
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,")] = True
+
+
+def _space_ends(data: np.ndarray, kinds: dict[tuple[int, ...], tuple[int, ...]]) -> np.ndarray:
+    """Bytes that end one of these characters."""
+    space = np.zeros(len(data), bool)
+    if len(data) and data.max() >= 0xC2:
+        for before, last in kinds.items():
+            n = len(before)
+            hit = np.isin(data[n:], np.array(last, np.uint8))
+            for k, byte in enumerate(before):
+                hit &= data[k : len(data) - n + k] == byte
+            space[n:] |= hit
+    return space
+
+
+#: How a vocabulary treats white space: it belongs to its tokens; it is dropped; blanks alone are
+#: white space, and every text has one more before it.
+SPACED, BARE, BLANKS = range(3)
+
+
+def part_bounds(data: np.ndarray, bounds: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every part of the texts; ``BARE`` ones leave out the white space of ASCII.
+
+    A part ends before white space (of ASCII, after any other character) and before a stop
+    or comma after an ASCII letter.
+    """
+    size = len(data)
+    if not size:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gap = data == 0x20 if kind == BLANKS else H.GAP[data]
+    space = _space_ends(data, _BLANK_SIGN) | gap if kind == BLANKS else H.GAP[data] | _space_ends(data, _WIDE_SPACE)
+    cut = np.zeros(size + 1, bool)
+    cut[1:size] = (gap[1:] & ~space[:-1]) | (_STOP[data[1:]] & _LETTER[data[:-1]])
+    cut[bounds] = True
+    if kind != BARE:
+        places = np.flatnonzero(cut)
+        return places[:-1], places[1:]
+    first, last = cut[:size].copy(), cut[1:].copy()
+    first[1:] |= gap[:-1]
+    last[:-1] |= gap[1:]
+    return np.flatnonzero(first & ~gap), np.flatnonzero(last & ~gap) + 1
+
 
 _open: dict[str, Vocabulary] = {}
 
@@ -53,79 +107,155 @@ class Vocabulary:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.cache: dict[str, bytes] = {}
         self.room = CACHE_PARTS
-        self.parts = None
+        self.clear()
         if path.endswith(".model"):
             import sentencepiece
 
             self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
             self.size = self.pieces.vocab_size()
+            self.kind = self._piece_kind()
+            self.line_break = self.pieces.piece_to_id("<0x0A>")
             return
         from tokenizers import Tokenizer
 
+        self.pieces = None
         self.library = Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size()
         special = [t for t in self.library.get_added_tokens_decoder().items() if t[1].special and not t[1].normalized]
         self.mark_id, self.mark = (special[-1][0], special[-1][1].content) if special else (-1, "")
         probe = self.library.encode("a  b", add_special_tokens=False)
-        covered = sum(end - start for start, end in probe.offsets)
-        self.parts = SPACED if covered == 4 else BARE
+        self.kind = BARE if sum(end - start for start, end in probe.offsets) < 4 else SPACED
+
+    def _piece_kind(self) -> int | None:
+        """BLANKS if no piece reaches across a cut and a line break stands alone; else texts are encoded whole."""
+        pieces = [self.pieces.id_to_piece(x) for x in range(self.size)]
+        blank = "\u2581"
+        reach = any(blank in x.lstrip(blank) or "\n" in x or re.search("[A-Za-z][.,]", x) for x in pieces)
+        alone = [self.pieces.id_to_piece(x) for x in self.pieces.encode("\n a")] == [blank, "<0x0A>", blank + "a"]
+        return BLANKS if alone and not reach else None
+
+    def clear(self) -> None:
+        """The cache: a number for each part, and all parts' ids end to end in one growing array."""
+        self.numbers: dict[bytes, int] = {}
+        self.ids = np.zeros(1 << 16, "<u4")
+        self.begin = np.zeros(1 << 14, np.int64)
+        self.count = np.zeros(1 << 14, np.int64)
+        self.used = 0
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        if self.parts is None:
-            return [np.array(ids, "<u4").tobytes() for ids in self.pieces.encode(parts, num_threads=1)]
+    def _library_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts end to end, and their counts."""
+        if self.pieces is not None:
+            if self.kind == BLANKS and not any("\n" in x for x in parts):
+                # A line break is one id, and keeps the blank that the library puts before a text off the parts.
+                ids = np.array(self.pieces.encode("\n" + "\n".join(parts)), "<u4")
+                at = np.flatnonzero(ids == self.line_break)
+                return np.delete(ids, at)[1:], np.diff(at, append=len(ids)) - 1
+            skip, lead = (2, "\n") if self.kind == BLANKS else (0, "")
+            found = [x[skip:] for x in self.pieces.encode([lead + x for x in parts], num_threads=1)]
+            return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
         joined = self.mark.join(parts)
         if self.mark and joined.count(self.mark) == len(parts) - 1:
             # The library cuts at a special token first, so the parts stay apart in one text.
             ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ids == self.mark_id)
-            data, low = ids.tobytes(), [0, *((at + 1) * 4).tolist()]
-            high = [*(at * 4).tolist(), len(data)]
-            return [data[a:b] for a, b in zip(low, high, strict=True)]
-        found = self.library.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+            return np.delete(ids, at), np.diff(at, prepend=-1, append=len(ids)) - 1
+        found = [e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
 
     def fallback(self) -> np.ndarray:
-        """Which ids stand for a single byte for want of a piece."""
+        """Which ids stand for a single byte for want of a piece; white space of ASCII is not counted."""
         if not hasattr(self, "_fallback"):
-            of = self.pieces.is_byte if self.parts is None else (lambda _: False)
-            self._fallback = np.array([bool(of(x)) for x in range(self.size)])
+            self._fallback = np.zeros(self.size, bool)
+            if self.pieces is not None:
+                spaces = {f"<0x{x:02X}>" for x in range(9, 14)}
+                self._fallback[:] = [self.pieces.is_byte(x) and self.pieces.id_to_piece(x) not in spaces for x in range(self.size)]
         return self._fallback
 
-    def learn(self, parts: set[str]) -> None:
-        missing = list(parts - self.cache.keys())
-        if len(missing) + len(self.cache) > self.room:
-            for part in list(self.cache)[self.room // 2 :]:
-                del self.cache[part]
-            missing = list(parts - self.cache.keys())
-        for low in range(0, len(missing), 1024):
-            some = missing[low : low + 1024]
-            self.cache.update(zip(some, self._encode(some), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if self.parts is None:
-            return self._encode(texts)
-        out = []
-        for group in grouped(texts):
-            split = [self.parts.findall(text) for text in group]
-            self.learn(set(chain.from_iterable(split)))
-            take = self.cache.__getitem__
-            out += [b"".join(map(take, parts)) for parts in split]
-        return out
-
-
-def grouped(texts: list[str]):
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= GROUP_CHARS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    def _keep(self, parts: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        known, total = len(self.numbers), self.used + len(ids)
+        while total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while known + len(parts) > len(self.begin):
+            self.begin, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.count))
+        rows = slice(known, known + len(parts))
+        self.ids[self.used : total] = ids
+        self.count[rows] = counts
+        self.begin[rows] = self.used + np.cumsum(counts) - counts
+        self.used = total
+        self.numbers.update(zip(parts, range(known, known + len(parts)), strict=True))
+
+    def _halve(self) -> None:
+        """Only the first half of the room stays: the first parts met, so mostly the frequent ones."""
+        half = min(len(self.numbers), self.room // 2)
+        self.used = int(self.begin[half]) if half < len(self.numbers) else self.used
+        self.numbers = dict(islice(self.numbers.items(), half))
+
+    def learn(self, parts: list[bytes]) -> np.ndarray:
+        """Cache numbers of distinct parts; the library encodes those that the cache lacks."""
+        missing = [x for x in parts if x not in self.numbers]
+        if len(missing) + len(self.numbers) > self.room:
+            self._halve()
+            missing = [x for x in parts if x not in self.numbers]
+        if self.kind == BLANKS:  # those with a line break are encoded apart
+            missing.sort(key=lambda x: b"\n" in x)
+        for low in range(0, len(missing), BATCH):
+            some = missing[low : low + BATCH]
+            self._keep(some, *self._library_ids([x.decode() for x in some]))
+        return np.fromiter(map(self.numbers.__getitem__, parts), np.int64, len(parts))
+
+    def part_numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The cache number of every part ``data[starts[i] : ends[i]]``."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        numbers, heads = H.distinct_slices(data, starts, ends)
+        whole = data.tobytes()
+        known = self.learn([whole[a:b] for a, b in zip(starts[heads].tolist(), ends[heads].tolist(), strict=True)])
+        return known[numbers]
+
+    def gathered(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts of these cache numbers end to end, and the ends of each part's."""
+        count = self.count[mine]
+        ends = np.cumsum(count)
+        if not len(ends):
+            return np.zeros(0, "<u4"), ends
+        return self.ids[np.arange(ends[-1]) + np.repeat(self.begin[mine] - (ends - count), count)], ends
+
+    def encode_rows(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts ``data[bounds[i] : bounds[i + 1]]`` end to end, and each one's first place (one more at the end)."""
+        if self.kind is None:
+            whole = data.tobytes()
+            texts = [whole[a:b].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            ids, counts = self._library_ids(texts)
+            return ids, np.r_[0, np.cumsum(counts)]
+        if self.kind == BLANKS:
+            filled = np.diff(bounds) > 0
+            data = np.insert(data, bounds[:-1][filled], 0x20)
+            bounds = bounds + np.r_[0, np.cumsum(filled)]
+        starts, ends = part_bounds(data, bounds, self.kind)
+        ids, part_ends = self.gathered(self.part_numbers(data, starts, ends))
+        return ids, np.r_[0, part_ends][np.searchsorted(starts, bounds)]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a column of texts without nulls end to end, and each text's first place (one more at the end)."""
+        data, bounds = H.text_bytes(texts)
+        found, firsts = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for i, j in H.chunks(bounds, RUN_BYTES):
+            ids, first = self.encode_rows(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+            found.append(ids)
+            firsts.append(first[1:] + firsts[-1][-1])
+        return np.concatenate(found), np.concatenate(firsts)
+
+    def encode_ended(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode_column``, with ``end_id`` after each text."""
+        ids, firsts = self.encode_column(texts)
+        return np.insert(ids, firsts[1:], end_id), firsts + np.arange(len(firsts))
+
+
+def id_bytes(ids: np.ndarray, firsts: np.ndarray) -> pa.Array:
+    """Rows ``ids[firsts[i] : firsts[i + 1]]`` as a binary column of little-endian unsigned 32-bit integers."""
+    buffers = [None, pa.py_buffer((firsts * 4).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))]
+    return pa.Array.from_buffers(pa.large_binary(), len(firsts) - 1, buffers).cast(pa.binary())
 
 
 def vocabulary(name: str) -> Vocabulary:
@@ -136,10 +266,11 @@ def vocabulary(name: str) -> Vocabulary:
 
 
 def in_use(*names: str) -> list[Vocabulary]:
-    """The encoders of a task. Those of earlier tasks that it does not use give their memory back."""
+    """The encoders of a task. Those of earlier tasks that it does not use give their memory back.
+
+    Tasks without any that need much memory themselves call it with no name.
+    """
     for other in _open.keys() - set(names):
         del _open[other]
     found = [vocabulary(name) for name in names]
-    for one in found:
-        one.room = CACHE_PARTS // len(names)
     return found

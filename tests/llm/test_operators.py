@@ -8,6 +8,7 @@ from itertools import groupby
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
@@ -29,7 +30,7 @@ from tallybook.llm import (  # noqa: E402
     token_file,
     toxicity,
 )
-from tallybook.llm.vocabularies import vocabulary  # noqa: E402
+from tallybook.llm.vocabularies import Vocabulary, vocabulary, vocabulary_path  # noqa: E402
 from tallybook.workspace import new_path  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, _extra int, start long"
@@ -159,13 +160,24 @@ def test_every_language_has_its_own_bands(spark):
 
 
 def test_fertility_measures():
-    found = fertility.fertility(["ab ab cd", "", "中\U00013000"], fertility.VOCABULARIES)
-    pieces = vocabulary("piece_bpe_32k.model").pieces
-    ids = [x for w in ("ab", "ab", "cd") for x in pieces.encode(w)]
-    share = np.array(list(Counter(ids).values())) / len(ids)
-    assert found["tokens"][0][0] == len(ids) and found["tokens"][0][1] == 0
-    assert found["entropy"][0] == pytest.approx(-(share * np.log2(share)).sum())
-    assert found["fallback"][2] == sum(pieces.is_byte(x) for x in pieces.encode("中\U00013000")) > 0
+    texts = ["ab ab  cd\nab.", "", "中\U00013000\n\t"]
+    found = fertility.fertility(pa.array(texts), fertility.VOCABULARIES)
+    pieces, whole = vocabulary("piece_bpe_32k.model").pieces, vocabulary("byte_bpe_50k.json").library
+    for n, text in enumerate(texts):
+        ids = pieces.encode(text)
+        share = np.array(list(Counter(ids).values())) / max(len(ids), 1)
+        assert found["tokens"][0][n] == len(ids) and found["tokens"][1][n] == len(whole.encode(text).ids)
+        assert found["entropy"][n] == pytest.approx(-(share * np.log2(share)).sum())
+    spaces = {"<0x0A>", "<0x09>"}
+    bytes_of = [x for x in pieces.encode(texts[2]) if pieces.is_byte(x) and pieces.id_to_piece(x) not in spaces]
+    assert found["fallback"].tolist() == [0, 0, len(bytes_of)] and bytes_of
+
+
+def test_a_language_with_few_texts_has_a_wider_band(spark):
+    rng = random.Random(13)
+    rows = [(n, prose(rng, "etaoinshr", 7), "en") for n in range(60)] + [(100 + n, prose(rng, "etaoinshr", 3 + 2 * n), "xx") for n in range(3)]
+    found = fertility.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.doc_id for r in found if r.kept} >= {100, 101, 102}
 
 
 def test_token_file(docs, rows, spark):
@@ -202,15 +214,23 @@ def test_huffman_is_optimal():
     assert int((huffman.code_lengths(counts, 18) * counts).sum()) == cost
 
 
-def test_parts_are_encoded_as_whole_texts_are():
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_parts_are_encoded_as_whole_texts_are(name, monkeypatch):
     rng = random.Random(5)
-    signs = "ab'sS 0?!.,#\t\n\r\x0b\x0c\x1c\x85\xa0" + "".join(map(chr, (0x2003, 0x3000, 0x301, 0xE9, 0x3A3, 0x130, 0x1F600)))
+    signs = "ab'sS 0?!.,#\t\n\r\x0b\x0c\x1c\x85\xa0\u2581" + "".join(map(chr, (0x2003, 0x3000, 0x301, 0xE9, 0x3A3, 0x130, 0x1F600)))
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
-    texts += ["a <|endoftext|> b", "<|endoftext|>  x", "it's  they'll \n\n x", "   ", ""]
-    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
-        known = vocabulary(name)
-        want = [e.ids for e in known.library.encode_batch(texts, add_special_tokens=False)]
-        assert [np.frombuffer(x, "<u4").tolist() for x in known.encode(texts)] == want
+    texts += ["a <|endoftext|> b", "<|endoftext|>  x", "<s> </s> <0x0A>", "it's  they'll \n\n x", "   ", " ", "", "end ", " word, é.\n" * 200_000]
+    known = Vocabulary(vocabulary_path(name))
+    if known.pieces is None:
+        want = [known.library.encode(x, add_special_tokens=False).ids for x in texts]
+    else:
+        assert known.kind is not None
+        want = known.pieces.encode(texts)
+    for room in (400_000, 3000):  # the second one is often full
+        known.room = room
+        for low in range(0, len(texts), 500):
+            ids, firsts = known.encode_column(pa.array(texts[low : low + 500], pa.string()))
+            assert [ids[i:j].tolist() for i, j in zip(firsts, firsts[1:], strict=False)] == want[low : low + 500]
 
 
 def test_packing(docs, rows):
