@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallybook.llm import decontamination, fertility, ngram_join, packing, suffix_dedup
 from tallybook.llm.shared import stage, table
 
+#: Bytes of a string that may stand in the corpus once. A passage of over 50 words is longer: 50
+#: short words and their blanks are about 250 bytes.
+REPEATED_BYTES = 240
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the bands of tokeniser fertility keep."""
@@ -20,8 +24,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 400 that also start elsewhere; all documents stay."""
-    return suffix_dedup.without_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Texts without the bytes of strings of REPEATED_BYTES that also start elsewhere; all documents stay."""
+    return suffix_dedup.without_repeats(docs, REPEATED_BYTES).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
