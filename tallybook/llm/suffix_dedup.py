@@ -15,19 +15,23 @@ from tallybook.llm.repeats import Rule, bytes_as_units, merged, with_spans
 from tallybook.llm.shared import TEXT, identified
 
 BYTES = 400
+SPREAD = 100
 
 
 def rule(size: int = BYTES) -> Rule:
-    """An anchor is three quarters as long as a window, so that few windows share one by chance."""
-    return Rule(size=size, anchor=max(1, size * 3 // 4), units=bytes_as_units, earlier_id=False)
+    """An anchor is at most SPREAD shorter than a window, and at least half as long.
+
+    The longer it is, the fewer windows share one by chance; the shorter, the fewer stretches there are.
+    """
+    return Rule(size=size, anchor=max(1, size // 2, size - SPREAD), units=bytes_as_units, earlier_id=False)
 
 
 def repeated_bytes(docs: DataFrame, size: int = BYTES) -> DataFrame:
     """``docs`` and ``_llm_spans``, the byte ranges covered by strings of ``size`` UTF-8
     bytes that also start anywhere else, in the same document or another.
 
-    Windows are grouped by their anchor, the least-hashed part of three quarters of their
-    length; stretches of neighbouring windows under one anchor are compared as a whole, and
+    Windows are grouped by their anchor, the least-hashed of the shorter
+    strings in them; stretches of neighbouring windows under one anchor are compared as a whole, and
     single windows only for one stretch of each kind where stretches differ. Equal groups
     are exactly the repeated strings, up to a clash of two 64-bit hashes at once.
 
