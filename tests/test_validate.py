@@ -149,3 +149,13 @@ def test_control_total(spark):
     V.assert_control_total(V.control_total(rows, checked))
     with pytest.raises(ControlTotalError):
         V.assert_control_total(V.control_total(rows, checked.limit(2)))
+
+
+def test_failures_of_chosen_rules_are_planned_within_bounds(spark):
+    """A filter above the exploded failures took the planner minutes and a gigabyte."""
+    rows = raw(spark, {"debit": "-1", "entity": ""}, {"debit": "-2"}, {}, {"entity": None})
+    quarantined = V.quarantined_rows(V.check_rows(rows, DETAIL_RULES, FORMATS))
+    chosen = V.broken_rules(quarantined, ("V-SIGN", "V-TYPE"), ("row_number",))
+    found = [(r.row_number, r.rule_id, r.field) for r in chosen.orderBy("row_number").collect()]
+    assert found == [(1, "V-SIGN", "debit"), (2, "V-SIGN", "debit"), (4, "V-TYPE", "entity")]
+    assert "Filter" not in chosen._jdf.queryExecution().analyzed().toString().split("Generate")[0]
