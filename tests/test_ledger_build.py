@@ -3,6 +3,7 @@
 import datetime as dt
 
 from catalog import ledger as L
+from catalog.queries import QUERIES
 
 SCHEMA = (
     "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_shipdate date, l_returnflag string, l_extendedprice double"
@@ -36,3 +37,10 @@ def test_orders_are_totalled_once_for_all_that_read_them(spark, tmp_path):
     assert all("Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString() for df in (lines, clean))
     totals = {r.journal_id: (r.total, r.posting_date) for r in L._orders(spark, path).collect()}
     assert {k: int(v[0]) for k, v in totals.items()} == {"J3": 40, "J20": 30, "J100": 30, "J500": 30, None: 30}
+
+
+def test_row_position_groups_numbers_without_listing_them(spark, tmp_path):
+    answer = QUERIES["row_position"](spark, folder(spark, tmp_path))
+    assert "distinct" not in answer._jdf.queryExecution().analyzed().toString()
+    lines = L.detail(spark, str(tmp_path)).count()
+    assert answer.first().asDict() == {"rows": lines, "well_numbered": lines}
