@@ -94,3 +94,20 @@ def test_population_is_left_alone(spark):
     changed = {r.change: r.rows for r in D.population_unchanged(rows, rows.limit(1)).collect()}
     assert changed == {"lost": 1}
     assert set(DETAIL_RULES) < set(rows.columns)
+
+
+def test_changes_both_ways_come_of_one_grouping_over_the_rows(spark):
+    two, one = line("J", "1", "5"), {**line("K", "2"), "credit": None}
+    before = detail(spark, [two, two, one, two]).drop("row_index")
+    after = detail(spark, [two, one, one, one]).drop("row_index")
+    changes = D.population_unchanged(before, after)
+    assert {r.change: r.rows for r in changes.collect()} == {"lost": 2, "added": 2}
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Aggregate") == 2
+
+
+def test_keys_are_counted_by_a_hash_and_a_missing_field_equals_none(spark):
+    missing = {**line("J", "1", "5"), "account_code": None}
+    rows = detail(spark, [missing, missing, line("J", "1", "5"), line("K", "1", "5"), line("K", "2", "5")])
+    assert [d for _, d in D.repeated_keys(rows).dtypes] == ["bigint", "bigint"]
+    assert sorted(r.row_index for r in D.duplicate_candidates(rows).collect()) == [2, 3]
