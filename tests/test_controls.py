@@ -136,3 +136,13 @@ def test_crosscheck_mismatch_stops_the_run(spark, monkeypatch):
         R.assert_c1_agrees(detail(spark, [line("J", "1", "5")]))
     with pytest.raises(Exception, match="C1 does not agree with itself"):
         C.c1_ledger_crosscheck(detail(spark, [line("J", "1", "5")])).select(C.c1_detail_text()).collect()
+
+
+def test_c3_detail_only_totals_lines_before_they_meet_the_summary(spark):
+    gl = detail(spark, [line("J", "8888", "70", "20"), line("J", None, "3"), line("J", "1000", "1"), line("K", "1000", "1")])
+    tb = summary(spark, [balance("1000"), balance("1000"), balance(None)])
+    found = C.c3_detail_only(account_totals(gl), tb, T)
+    assert sorted((r.account_code or "", r.value) for r in found.collect()) == [("", D("3.00")), ("8888", D("50.00"))]
+    # A join below the totals would have all lines of a hot account sorted in one task.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
