@@ -111,3 +111,13 @@ def test_keys_are_counted_by_a_hash_and_a_missing_field_equals_none(spark):
     rows = detail(spark, [missing, missing, line("J", "1", "5"), line("K", "1", "5"), line("K", "2", "5")])
     assert [d for _, d in D.repeated_keys(rows).dtypes] == ["bigint", "bigint"]
     assert sorted(r.row_index for r in D.duplicate_candidates(rows).collect()) == [2, 3]
+
+
+def test_digests_are_derived_and_not_written(spark):
+    lines = [line("J-001", "6000", "1200"), line("J-001", "6000", "1200"), line("J-002", "6000", "1200")]
+    candidates = D.duplicate_candidates(detail(spark, lines))
+    written = spark.read.parquet(*candidates.inputFiles()).columns
+    assert not {"exact_key", "suspected_key"} & set(written) and {"exact_key", "suspected_key"} < set(candidates.columns)
+    key = "\x1f".join(["AU01", "6000", "2025-08-01", "1200.00", "0.00"])
+    (found,) = D.suspected_groups(candidates).collect()
+    assert (found.digest, found.group_rows, found.journals) == (hashlib.sha256(key.encode()).hexdigest(), 3, 2)
