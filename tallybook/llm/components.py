@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.shared import stage
+from tallybook.llm.shared import leaves_one, stage
 
 
 def _figures(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
 
 
+@leaves_one
 def components(links: DataFrame) -> DataFrame:
     """Staged (node, root) of every node in ``links`` (columns u, v): root is the component's least node.
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import hashing as H
-from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, identified, stage, without
+from tallybook.llm.shared import DIGEST, KEY, RANK, TEXT, identified, leaves_one, stage, without
 from tallybook.llm.vocabularies import in_use, vocabulary_path
 
 #: The first one also measures byte fallback and token entropy.
@@ -197,6 +197,11 @@ def quality(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: st
     return judged(measures(docs, names, language))
 
 
+@leaves_one
+def _rejected(docs: DataFrame, names: tuple[str, ...], language: str) -> DataFrame:
+    return stage(quality(docs, names, language).filter(~F.col("kept")).select(*KEY).distinct(), "rejected")
+
+
 def kept_documents(docs: DataFrame, names: tuple[str, ...] = VOCABULARIES, language: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps."""
-    return without(docs, stage(quality(docs, names, language).filter(~F.col("kept")).select(*KEY).distinct(), "rejected"))
+    return without(docs, _rejected(docs, names, language))

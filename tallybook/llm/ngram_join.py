@@ -29,6 +29,7 @@ from tallybook.llm.shared import (
     TEXT,
     document_key,
     identified,
+    leaves_one,
     passes,
     split_by_filter,
     stage,
@@ -260,6 +261,7 @@ def _node_heads(nodes: DataFrame, live: DataFrame) -> DataFrame:
     return stage(heads.select("node", *(F.col(f"head.{c}").alias(c) for c in KEY)), "heads")
 
 
+@leaves_one
 def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Staged rows of every document: doc_id, key, n (distinct n-grams) and component (its least doc_id).
 

@@ -11,8 +11,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tallybook.llm import fertility  # noqa: E402
-from tallybook.llm.shared import stage, table  # noqa: E402
+from tallybook.llm import components, fertility, ngram_join, suffix_dedup  # noqa: E402
+from tallybook.llm.shared import identified, stage, table  # noqa: E402
+from tallybook.workspace import base_dir  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test data")
@@ -52,3 +53,21 @@ def test_stages(spark):
     packed = by_stage[5].collect()
     assert {r.doc_id for r in packed} == ids[4]
     assert corpus_pipeline.run(spark, FOLDER).count() == len(packed)
+
+
+def test_tables_on_the_way_are_deleted_once_the_result_is_written(spark):
+    words = [f"w{n}" for n in range(120)]
+    texts = [" ".join(words), " ".join(words[:119]), " ".join(words[::-1]), " ".join(words[60:] + words[:60]), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    there = lambda: {p.name for p in Path(base_dir(spark)).iterdir()}
+    before = there()
+    joined = ngram_join.linked(identified(docs), 5, 80)
+    assert [x.partition("-")[0] for x in there() - before] == ["linked"]
+    assert sorted(r.n for r in joined.collect()) == [0, 115, 116, 116, 116]
+    before = there()
+    cut = suffix_dedup.removal_digests(docs, 60)
+    assert [x.partition("-")[0] for x in there() - before] == ["repeats"]
+    assert sum(r.n_removed > 0 for r in cut.collect()) == 3
+    before = there()
+    roots = components.components(spark.createDataFrame([(1, 2), (2, 3)], "u long, v long"))
+    assert [x.partition("-")[0] for x in there() - before] == ["roots"] and roots.count() == 3
