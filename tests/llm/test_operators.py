@@ -1,6 +1,7 @@
 """Each operator against plain answers, with the odd rows that tables hold."""
 
 import random
+import re
 import sys
 import zlib
 from collections import Counter
@@ -233,6 +234,35 @@ def test_parts_are_encoded_as_whole_texts_are(name, monkeypatch):
             assert [ids[i:j].tolist() for i, j in zip(firsts, firsts[1:], strict=False)] == want[low : low + 500]
 
 
+def test_words_go_straight_to_the_model():
+    rng = random.Random(8)
+    signs = ["the", "Stra\u00dfe", "\u00e9t\u00e9", "\u00d7", "\u00f7", "\u023f", "\u0250", "'s", "'", "$$$", "<|", "|>", "<|endoftext|>", "endoftext", "7", " ", "  ", "\n", "\r\n", "\t", ".", "_"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    known = Vocabulary(vocabulary_path("byte_bpe_50k.json"))
+    want = [known.library.encode(x, add_special_tokens=False).ids for x in texts]
+    asked, library_ids = [], known._library_ids
+    known._library_ids = lambda parts: asked.extend(parts) or library_ids(parts)
+    ids, firsts = known.encode_column(pa.array(texts, pa.string()))
+    assert [ids[i:j].tolist() for i, j in zip(firsts, firsts[1:], strict=False)] == want
+    assert asked and not any(re.fullmatch(" ?[A-Za-z]+", x) for x in asked)
+    asked.clear()
+    # Signs and line breaks are parts of their own, so these words are the same two.
+    known.encode_column(pa.array(["oneword$$$\noneword %%%", " otherword,\noneword_\noneword# otherword"]))
+    assert b"oneword" in known.numbers and b" otherword" in known.numbers
+    assert not any("word" in x for x in asked) and not any(b"oneword" in x and x != b"oneword" for x in known.numbers)
+
+
+def test_parts_met_often_stay_in_a_full_cache():
+    known = Vocabulary(vocabulary_path("byte_bpe_50k.json"))
+    known.room = 100
+    first = [" a" + chr(97 + k % 26) + chr(97 + k // 26) for k in range(60)]
+    known.encode_column(pa.array(["".join(first)]))
+    for _ in range(3):
+        known.encode_column(pa.array([" often met"]))
+    known.encode_column(pa.array(["".join(x.upper() for x in first)]))
+    assert len(known.numbers) <= 110 and {b" often", b" met"} <= known.numbers.keys()
+
+
 def test_packing(docs, rows):
     found = packing.packed(docs).collect()
     want = Counter()
