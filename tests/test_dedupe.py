@@ -121,3 +121,12 @@ def test_digests_are_derived_and_not_written(spark):
     key = "\x1f".join(["AU01", "6000", "2025-08-01", "1200.00", "0.00"])
     (found,) = D.suspected_groups(candidates).collect()
     assert (found.digest, found.group_rows, found.journals) == (hashlib.sha256(key.encode()).hexdigest(), 3, 2)
+
+
+def test_a_scan_of_candidates_has_few_of_them_a_task(spark, monkeypatch):
+    monkeypatch.setattr(D, "CANDIDATES_PER_FILE", 10)
+    twice = [line(f"J-{k}", "6000", str(k % 50 + 1)) for k in range(100)]
+    candidates = D.duplicate_candidates(detail(spark, twice))
+    assert candidates.count() == 100 and len(candidates.inputFiles()) >= 10
+    per_file = candidates.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert per_file <= 10
