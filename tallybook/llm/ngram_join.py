@@ -8,7 +8,8 @@ length, positional and suffix filters thin out the pairs, each of which is verif
 What is asked for is the groups that links connect, so a pair already connected needs no
 look. Nodes under one n-gram are first compared with one of them (a star, twice), which
 connects large groups of copies at a cost in proportion to their size. Then all pairs
-under an n-gram that are not connected yet are compared, so no group is missed.
+under an n-gram that are not connected yet are compared, so no group is missed. An n-gram
+of two nodes needs no more than its first star.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ from tallybook.llm.shared import (
 )
 from tallybook.llm.vocabularies import in_use
 
-#: The suffix filter parts n-grams by hash into so many parts, 64 to a column.
+#: The suffix filter parts n-grams by hash into at most so many parts, 64 to a column. A set has as
+#: many columns as a power of two gives it a part for each n-gram; the others are zero and compress to nothing.
 _PARTS = 2048
 SKETCH = tuple(f"s{n}" for n in range(_PARTS // 64))
 
@@ -96,7 +98,14 @@ def _sketches(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     rows = len(bounds) - 1
     place = np.repeat(np.arange(rows), np.diff(bounds)) * _PARTS + (flat & np.uint64(_PARTS - 1)).astype(np.int64)
     odd = np.bincount(place, minlength=rows * _PARTS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(rows, _PARTS), axis=1).view(np.int64)
+    sketches = np.packbits(odd.astype(np.uint8).reshape(rows, _PARTS), axis=1).view(np.int64)
+    n, half = np.diff(bounds), len(SKETCH) // 2
+    while half:  # two parts that become one hold an odd number if one of them does
+        few = n <= 64 * half
+        sketches[few, :half] ^= sketches[few, half : 2 * half]
+        sketches[few, half : 2 * half] = 0
+        half //= 2
+    return sketches
 
 
 def _nodes(size: int):
@@ -175,19 +184,37 @@ def _may_link(percent: int, x: str, y: str) -> Column:
 
 
 def _may_differ(percent: int, x: str, y: str) -> Column:
-    """Suffix filter: parts with an odd number in one set and an even one in the other are no more than n-grams may differ."""
-    apart = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in SKETCH), F.lit(0))
-    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    """Suffix filter: parts with an odd number in one set and an even one in the other are no more than n-grams may differ.
+
+    Of two sketches with unequal numbers of columns the longer one is folded to the shorter's. Where it
+    is over twice as long, the sets differ too much in length to link, for any ``percent`` above 50; else they pass.
+    """
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = [F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}")) for s in SKETCH]
+    apart, columns = sum(map(F.bit_count, differ), F.lit(0)), len(SKETCH) // 2
+    less, more = F.least(n, m), F.greatest(n, m)
+    while columns:
+        folded = sum((F.bit_count(differ[k].bitwiseXOR(differ[k + columns])) for k in range(columns)), F.lit(0))
+        fewer, twice = less <= 64 * columns, more > 64 * columns
+        far = more > 128 * columns if 2 * columns < len(SKETCH) else F.lit(False)
+        apart = F.when(fewer & twice, F.when(far, 0).otherwise(folded)).otherwise(apart)
+        columns //= 2
+    return (100 + percent) * apart <= (100 - percent) * (n + m)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def star_pairs(entries: DataFrame, percent: int, pick: Column) -> DataFrame:
+def star_heads(entries: DataFrame, pick: Column) -> DataFrame:
+    """Staged (token, y, nodes): each n-gram's picked node and how many nodes it has. ``entries`` has ``root``."""
+    picked = F.min_by(F.struct("node", "n", "place", "root"), pick).alias("y")
+    return stage(entries.groupBy("token").agg(picked, F.count(F.lit(1)).alias("nodes")), "heads")
+
+
+def star_pairs(entries: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Pairs of each n-gram's picked node and its nodes of other groups. ``entries`` has ``root``."""
-    heads = stage(entries.groupBy("token").agg(F.min_by(F.struct("node", "n", "place", "root"), pick).alias("y")), "heads")
-    rows = entries.select("token", F.struct("node", "n", "place", "root").alias("x")).join(heads, "token")
+    rows = entries.select("token", F.struct("node", "n", "place", "root").alias("x")).join(stars.drop("nodes"), "token")
     rows = rows.filter((F.col("x.root") != F.col("y.root")) & _may_link(percent, "x", "y"))
     return _ordered(rows.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
@@ -245,8 +272,8 @@ def verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, size: int, per
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stage(nodes.join(heads, "node"), "wanted")
     near, _ = split_by_filter(docs.select(*KEY, TEXT), document_key(), wanted, document_key())
-    # A document that comes twice is read once.
-    texts = stage(near.join(wanted, list(KEY)).dropDuplicates(["node"]).select("node", TEXT), "texts")
+    # A document that comes twice is read once; by the join's columns, so that no text moves for it.
+    texts = stage(near.join(wanted, list(KEY)).dropDuplicates([*KEY, "node"]).select("node", TEXT), "texts")
     rows = (
         pairs.join(texts.select(F.col("node").alias("a"), F.col(TEXT).alias("text_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col(TEXT).alias("text_b")), "b")
@@ -282,14 +309,19 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     live = stage(entries.select("node").distinct(), "live")
     heads = _node_heads(filled, live)
     sketches = stage(figures.select("node", "n", *SKETCH).join(live, "node", "left_semi").dropDuplicates(["node"]), "sketches")
-    rooted, links, roots = entries.withColumn("root", F.col("node")), None, None
+    rooted, links, roots, first = entries.withColumn("root", F.col("node")), None, None, True
     # First a node with the fewest rare n-grams before the shared one, so one in the middle of its copies; then any.
     for pick in (F.struct("place", "node"), F.struct(F.xxhash64("node"), "node"), None):
         if pick is None:
             pairs = remaining_pairs(rooted, sketches, percent)
         else:
-            pairs = filtered(star_pairs(rooted, percent, pick), sketches, percent)
+            stars = star_heads(rooted, pick)
+            pairs = filtered(star_pairs(rooted, stars, percent), sketches, percent)
         pairs = stage(pairs, "pairs")
+        if first:  # A star of two nodes is all their pairs, so n-grams that no more nodes have are done with.
+            first, token = False, F.col("token")
+            entries, _ = split_by_filter(entries, token, stars.filter("nodes > 2"), token)
+            rooted = entries.withColumn("root", F.col("node"))
         if pairs.isEmpty():
             continue
         found = verified(pairs, docs, heads, size, percent)

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -202,6 +203,37 @@ def test_huffman():
         assert (huffman.decode(data, checkpoints, len(ids), huffman.decoding_table(lengths)) == ids).all()
 
 
+def test_sketches_are_as_long_as_their_sets_and_differ_by_no_more(spark):
+    rng = np.random.default_rng(4)
+    sizes = [0, 1, 60, 64, 65, 75, 500, 520, 1000, 1024, 1025, 1200, 3000]
+    every = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    sets = [np.sort(every[:n]) for n in sizes]
+    sketches = ngram_join._sketches(np.concatenate(sets), np.r_[0, np.cumsum(sizes)])
+    assert all(int((x != 0).sum()) <= max(1, n // 32) for n, x in zip(sizes, sketches, strict=True))
+    columns = [*ngram_join.SKETCH, "n", "i"]
+    nodes = spark.createDataFrame([[*x.tolist(), n, i] for i, (n, x) in enumerate(zip(sizes, sketches, strict=True))], columns)
+    side = F.struct(*columns)
+    both = nodes.select(side.alias("x")).crossJoin(nodes.select(side.alias("y")))
+    passed = {(r.a, r.b) for r in both.filter(ngram_join._may_differ(85, "x", "y")).selectExpr("x.i a", "y.i b").collect()}
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            shared = len(np.intersect1d(x, y))
+            assert (a, b) in passed or 100 * shared < 85 * (len(x) + len(y) - shared)
+    assert (7, 6) in passed and len(passed) < len(sets) ** 2
+
+
+def test_ngrams_of_two_nodes_are_compared_once(spark, monkeypatch):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join([*words[: 40 + k], *(f"own{k}x{j}" for j in range(20 - k))])) for k in (0, 1)]
+    rows += [(2, rows[0][1]), (3, " ".join(words[::-1])), (4, " ".join([*words[::-1][:59], "other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, remaining = [], ngram_join.remaining_pairs
+    monkeypatch.setattr(ngram_join, "remaining_pairs", lambda entries, *rest: seen.append(entries.count()) or remaining(entries, *rest))
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs, 4, 85).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3}
+    assert seen == [0]
+
+
 def test_huffman_is_optimal():
     import heapq
 
