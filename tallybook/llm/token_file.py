@@ -34,8 +34,8 @@ def _encoded(name: str, end_id: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, before, known = TaskContext.get().partitionId(), 0, 0, in_use(name)[0]
         for batch in batches:
-            for low in range(0, batch.num_rows, 1024):
-                some = batch.slice(low, 1024)
+            for low in range(0, batch.num_rows, 256):
+                some = batch.slice(low, 256)
                 ids, firsts = known.encode_ended(some.column(TEXT), end_id)
                 rows, sizes = some.num_rows, np.diff(firsts)
                 ends = before + np.cumsum(sizes)

@@ -23,6 +23,7 @@ from tallybook.llm import (  # noqa: E402
     components,
     decontamination,
     fertility,
+    hashing,
     huffman,
     ngram_join,
     packing,
@@ -295,6 +296,32 @@ def test_parts_met_often_stay_in_a_full_cache():
     assert len(known.numbers) <= 110 and {b" often", b" met"} <= known.numbers.keys()
 
 
+def test_a_full_cache_is_small():
+    import tracemalloc
+
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choices("etaoinsrh", k=7)) for _ in range(500)) for _ in range(100)]
+    known = Vocabulary(vocabulary_path("byte_bpe_50k.json"))
+    known.encode_column(pa.array(["warm"]))
+    tracemalloc.start()
+    try:
+        for text in texts:
+            known.encode_column(pa.array([text]))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(known.numbers) > 40_000 and held < 120 * len(known.numbers)
+
+
+def test_equal_hashes_do_not_pass_for_known_parts(monkeypatch):
+    texts = ["one two three two", "two one  four", "three five", "one"]
+    known = Vocabulary(vocabulary_path("byte_bpe_50k.json"))
+    want = [known.library.encode(x, add_special_tokens=False).ids for x in texts]
+    monkeypatch.setattr(hashing.Hasher, "ranges", lambda self, start, end: np.zeros(len(start), np.uint64))
+    for text, ids in zip(texts * 2, want * 2, strict=True):
+        assert known.encode_column(pa.array([text]))[0].tolist() == ids
+
+
 def test_packing(docs, rows):
     found = packing.packed(docs).collect()
     want = Counter()
